@@ -1,0 +1,126 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.incremental import first_per_key, latest_per_key, only_new
+from tidemark.sources.files import table_exists
+from tidemark.sources.tables import Target, append_load, publish, read_table
+
+SCHEMA = "k string, t string, v int"
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_new_treats_nulls_as_equal_and_dedups_the_batch(spark):
+    stored = frame(spark, ("a", "1", 0), (None, "1", 0), ("a", None, 0))
+    batch = frame(
+        spark,
+        ("a", "1", 9), (None, "1", 9), ("a", None, 9),  # stored
+        ("a", "2", 5), ("a", "2", 4), ("a", "2", 4),  # new, three times
+        (None, None, 7), (None, None, 7),
+        ("b", "1", 1),
+    )
+    new = only_new(batch, stored, ["k", "t"], ["v"])
+    assert sorted(new.collect(), key=str) == sorted(
+        frame(spark, ("a", "2", 4), (None, None, 7), ("b", "1", 1)).collect(), key=str
+    )
+    assert new.columns == batch.columns
+    assert only_new(batch, stored, ["k", "t"], dedup=False).count() == 6
+
+
+def test_pruning_does_not_change_the_result(spark):
+    stored = frame(spark, *[("s", str(i), i) for i in range(10)], ("s", None, 1))
+    batch = frame(spark, ("s", "3", 0), ("s", "4x", 0), ("s", "7", 0), ("s", None, 0), ("z", "5", 1))
+    plain = only_new(batch, stored, ["k", "t"])
+    pruned = only_new(batch, stored, ["k", "t"], prune_on="t")
+    assert sorted(pruned.collect()) == sorted(plain.collect())
+    assert pruned.count() == 2
+    nulls = frame(spark, ("s", None, 0), ("y", None, 0))
+    assert only_new(nulls, stored, ["k", "t"], prune_on="t").count() == 1
+    times = spark.sql("select timestamp'2024-10-27 00:30:00' as t union all select timestamp'2024-10-27 01:30:00'")
+    assert only_new(times, times, ["t"], prune_on="t").isEmpty()
+
+
+def test_one_shuffle_per_side_and_leading_rows_before_it(spark, folder):
+    rows = frame(spark, *[("a", str(i), i) for i in range(20)])
+    rows.write.parquet(f"{folder}/t")
+    stored = spark.read.schema(SCHEMA).parquet(f"{folder}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(only_new(rows, stored, ["k", "t"], ["v"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "row_number(), 1, Partial" in text
+    # of the stored table only the keys are read
+    assert "ReadSchema: struct<k:string,t:string>" in text
+
+
+def test_first_and_latest_per_key(spark):
+    rows = frame(spark, ("a", "1", 1), ("a", "3", 2), ("a", "2", 3), (None, "1", 4), (None, "2", 5))
+    latest = {r.k: r.v for r in latest_per_key(rows, ["k"], "t").collect()}
+    assert latest == {"a": 2, None: 5}
+    first = {r.k: r.v for r in first_per_key(rows, ["k"], ["t"]).collect()}
+    assert first == {"a": 1, None: 4}
+    # undecided order: the same row whatever the input order
+    tied = frame(spark, *[("a", "1", i) for i in range(50)])
+    picks = {first_per_key(tied.orderBy(F.rand(s)), ["k"], ["t"]).first().v for s in range(4)}
+    assert len(picks) == 1
+
+
+def test_append_load(spark, folder):
+    path = f"{folder}/t"
+    rows = frame(spark, ("a", "1", 1), ("b", "1", 2))
+    assert not table_exists(spark, path)
+    assert append_load(rows, path, "run-1")
+    assert append_load(rows.filter("k = 'a'"), path, "run-2")
+    assert append_load(rows.filter("k = 'a'"), path, "run-2")  # repeated
+    assert not append_load(rows.filter("k = 'z'"), path, "run-3")
+    assert not table_exists(spark, f"{path}/load_id=run-3")
+    assert read_table(spark, path, rows.schema).count() == 3
+    assert read_table(spark, path, rows.schema, skip_load="run-2").count() == 2
+    assert read_table(spark, path, rows.schema).columns == rows.columns
+    with pytest.raises(ValueError):
+        append_load(rows, path, "../x")
+
+
+def test_numeric_load_names_keep_apart(spark, folder):
+    rows = frame(spark, ("a", "1", 1))
+    for load in ("007", "7"):
+        append_load(rows, f"{folder}/t", load)
+    assert read_table(spark, f"{folder}/t", rows.schema, skip_load="7").count() == 1
+
+
+def test_schema_evolution_by_declaration_or_merge(spark, folder):
+    path = f"{folder}/t"
+    rows = frame(spark, ("a", "1", 1))
+    append_load(rows.drop("v"), path, "1-first")
+    append_load(rows, path, "2-second")
+    for df in (read_table(spark, path, rows.schema), read_table(spark, path, merge_schema=True)):
+        assert sorted(df.columns) == ["k", "t", "v"]
+        assert {(r.k, r.t, r.v) for r in df.collect()} == {("a", "1", None), ("a", "1", 1)}
+
+
+def test_unreadable_stored_table_fails_instead_of_appending_everything(spark, folder):
+    with open(f"{folder}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    rows = frame(spark, ("a", "1", 1))
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        only_new(rows, read_table(spark, folder, rows.schema), ["k"]).collect()
+
+
+def test_publish_refreshes_or_appends(spark, folder):
+    target = Target(f"{folder}/copy", options={"compression": "gzip"})
+    rows = frame(spark, ("a", "1", 1))
+    publish(rows, target)
+    publish(rows, target)
+    assert read_table(spark, target.path, rows.schema).count() == 1
+    publish(rows, target, mode="append")
+    assert read_table(spark, target.path, rows.schema).count() == 2
+    publish(rows, Target(f"{folder}/json", "json"))
+    assert spark.read.schema(rows.schema).json(f"{folder}/json").collect() == rows.collect()

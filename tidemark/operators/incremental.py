@@ -18,21 +18,23 @@ def key_struct(keys: Sequence[str]) -> Column:
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (), keep_key: bool = False
 ) -> DataFrame:
     """The first row of each key in ``order``; equal rows are settled by content.
 
     Spark keeps only the leading row per key and task before the shuffle, so a
-    key with a large share of all rows costs no more than any other.
+    key with a large share of all rows costs no more than any other. With
+    ``keep_key`` the key struct stays, for a join that reuses the shuffle.
     """
     content = F.xxhash64(*df.columns)
     ranked = Window.partitionBy(_KEY).orderBy(*order, content)
-    return (
+    first = (
         df.withColumn(_KEY, key_struct(keys))
         .withColumn("_n", F.row_number().over(ranked))
         .filter(F.col("_n") == 1)
-        .drop("_n", _KEY)
+        .drop("_n")
     )
+    return first if keep_key else first.drop(_KEY)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], moment: str) -> DataFrame:
@@ -74,6 +76,9 @@ def only_new(
         column, range_ = F.col(prune_on), value_range(df, prune_on)
         inside = column.between(*range_) if range_ else F.lit(False)
         existing = existing.filter(column.isNull() | inside)
-    batch = first_per_key(df, keys, order) if dedup else df
+    if dedup:
+        batch = first_per_key(df, keys, order, keep_key=True)
+    else:
+        batch = df.withColumn(_KEY, key_struct(keys))
     stored = existing.select(key_struct(keys)).distinct()
-    return batch.withColumn(_KEY, key_struct(keys)).join(stored, _KEY, "left_anti").drop(_KEY)
+    return batch.join(stored, _KEY, "left_anti").drop(_KEY)

@@ -28,8 +28,27 @@ DAY_2 = datetime(2024, 2, 1, tzinfo=timezone.utc)
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+# Columns of the given tables, declared to save reading them off the files.
+_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def station_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +73,13 @@ def station_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, text_time: bool = True) -> DataFrame:
     """Flat landed readings: line items. Zero tax and discount stand for no value."""
+    shipped = F.col("l_shipdate")
+    moment = F.date_format(shipped, ISO) if text_time else shipped.cast("timestamp")
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("S"), "l_suppkey").alias("station_geohash"),
-        F.date_format("l_shipdate", ISO).alias("datetime"),
+        moment.alias("datetime"),
         F.col("l_partkey").alias("visibility"),
         F.nullif("l_tax", F.lit(0.0)).alias("temperature"),
         F.col("l_discount").alias("mslp"),
@@ -71,14 +92,16 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(
-        readings(spark, sf_dir), OBSERVATION_FIELDS, OBSERVATION_HASH, SOURCE, as_of=DAY_1
-    )
+def silver_readings(spark: SparkSession, sf_dir: str, text_time: bool = True) -> DataFrame:
+    rows = readings(spark, sf_dir, text_time)
+    return conform(rows, OBSERVATION_FIELDS, OBSERVATION_HASH, SOURCE, as_of=DAY_1)
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_fact(silver_readings(spark, sf_dir), WEATHER_METRICS, SOURCE, as_of=DAY_1)
+def fact(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Fact rows of all readings: all metrics, or only the named ones, which keeps
+    the columns of the others out of the scan."""
+    metrics = [m for m in WEATHER_METRICS if not names or m.name in names]
+    return to_fact(silver_readings(spark, sf_dir, text_time=False), metrics, SOURCE, as_of=DAY_1)
 
 
 def silver_stations(spark: SparkSession, sf_dir: str) -> DataFrame:

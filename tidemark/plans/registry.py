@@ -88,9 +88,8 @@ def queries() -> dict[str, Query]:
 @_query
 def season_leaderboard(spark, sf_dir):
     calendar = calendar_covering(table(spark, sf_dir, "lineitem"), "l_shipdate")
-    return marts.season_leaderboard(
-        domain.fact(spark, sf_dir), domain.dimension(spark, sf_dir), calendar
-    )
+    winds = domain.fact(spark, sf_dir, "Wind Speed", "Wind Gust")
+    return marts.season_leaderboard(winds, domain.dimension(spark, sf_dir), calendar)
 
 
 @_query
@@ -150,7 +149,7 @@ def eav_pivot(spark, sf_dir):
         "Temperature": "temperature",
         "Wind Direction": "wind_direction",
     }
-    return marts.eav_pivot(domain.fact(spark, sf_dir), metrics, {"Wind Direction"})
+    return marts.eav_pivot(domain.fact(spark, sf_dir, *metrics), metrics, {"Wind Direction"})
 
 
 @_query

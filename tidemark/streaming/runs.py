@@ -59,7 +59,7 @@ def write_batch(
             publish(stored, copy, mode="append")
         else:
             part = copy._replace(path=f"{copy.path}/{BATCH}={batch_id}")
-            publish(stored, part, mode="overwrite", partition_by=partition_by)
+            publish(stored, part, mode="overwrite")
 
 
 def run_foreach_batch(
