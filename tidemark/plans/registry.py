@@ -220,12 +220,12 @@ def bronze_incremental(spark, sf_dir):
     earlier = orders.filter(F.col("o_orderdate") < "1998-01-01")
     append_load(earlier, path, "run-1")
     # the second batch brings everything again, in two copies
-    stored = read_table(spark, path, orders.schema, skip_load="run-2")
+    stored = read_table(spark, path, orders.schema)
     batch = orders.unionAll(orders)
     new = only_new(batch, stored, keys, ["o_orderkey"], prune_on="o_orderdate")
     append_load(new, path, "run-2")
     # the third has nothing new and writes nothing
-    stored = read_table(spark, path, orders.schema, skip_load="run-3")
+    stored = read_table(spark, path, orders.schema)
     append_load(only_new(orders, stored, keys, ["o_orderkey"]), path, "run-3")
     return read_table(spark, path, orders.schema)
 

@@ -36,3 +36,9 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    fs, source_path = _open(spark, source)
+    if not fs.rename(source_path, _open(spark, target)[1]):
+        raise OSError(f"cannot move {source} to {target}")

@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import scratch_dir
-from tidemark.sources.files import drop_folder
+from tidemark.sources.files import drop_folder, move_folder, path_exists
 
 LOAD = "load_id"
 _FILE_FORMATS = {"parquet", "orc", "json", "avro"}
@@ -23,21 +22,16 @@ def read_table(
     schema: T.StructType | None = None,
     fmt: str = "parquet",
     merge_schema: bool = False,
-    skip_load: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Batch scan. A declared schema fills columns that older files lack with nulls
-    at no cost; ``merge_schema`` finds them out by reading every file's footer.
-    ``skip_load`` leaves one load's folder unread."""
+    at no cost; ``merge_schema`` finds them out by reading every file's footer."""
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None and fmt in _FILE_FORMATS:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())]))
+        reader = reader.schema(schema)
     elif merge_schema:
         reader = reader.option("mergeSchema", "true")
-    df = reader.load(path)
-    if skip_load is not None and LOAD in df.columns:
-        df = df.filter(~F.col(LOAD).eqNullSafe(skip_load))
-    return df.drop(LOAD)
+    return reader.load(path).drop(LOAD)
 
 
 def read_table_stream(
@@ -57,26 +51,47 @@ def read_table_stream(
     return reader.load(path).drop(LOAD)
 
 
+def _load_folder(path: str, load: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9._+-]+", load):
+        raise ValueError(f"not usable as a folder name: {load!r}")
+    return f"{path}/{LOAD}={load}"
+
+
+def free_load(spark: SparkSession, path: str, load: str) -> str:
+    """``load``, or ``load.2`` and so on where that load is finished already."""
+    name, n = load, 1
+    while path_exists(spark, _load_folder(path, name)):
+        n += 1
+        name = f"{load}.{n}"
+    return name
+
+
 def append_load(df: DataFrame, path: str, load: str, fmt: str = "parquet") -> bool:
-    """Append ``df`` as one load and say whether it held any row.
+    """Append ``df`` as one load and say whether rows were added.
+
+    A load is written to a hidden folder and moved into place when it is whole,
+    so readers and streams never see part of it and a failed run leaves nothing
+    behind that counts. A finished load is not written again: its files may have
+    been read downstream.
 
-    A load has its own folder, so repeating a run replaces what the failed run
-    left. Rows are written in one pass; looking into the written folder
-    afterwards replaces counting before the write, which would compute the whole
-    plan twice. An empty load leaves nothing behind.
+    Rows are written in one pass. Looking into the written folder replaces
+    counting before the write, which would compute the whole plan twice; an
+    empty load is dropped.
     """
-    if not re.fullmatch(r"[A-Za-z0-9._+-]+", load):
-        raise ValueError(f"not usable as a folder name: {load!r}")
+    folder = _load_folder(path, load)
     if fmt not in _FILE_FORMATS:
         if df.isEmpty():
             return False
         df.write.format(fmt).mode("append").option("mergeSchema", "true").save(path)
         return True
-    spark, folder = df.sparkSession, f"{path}/{LOAD}={load}"
-    df.write.format(fmt).mode("overwrite").save(folder)
-    if spark.read.format(fmt).schema(df.schema).load(folder).isEmpty():
-        drop_folder(spark, folder)
+    spark, hidden = df.sparkSession, f"{path}/_loading-{load}"
+    if path_exists(spark, folder):
+        return False
+    df.write.format(fmt).mode("overwrite").save(hidden)
+    if spark.read.format(fmt).schema(df.schema).load(hidden).isEmpty():
+        drop_folder(spark, hidden)
         return False
+    move_folder(spark, hidden, folder)
     return True
 
 
