@@ -186,7 +186,9 @@ def store_dimension(
             return False
         rows, number = scd2_advance(stored, updates, as_of, key, close_missing), last + 1
     out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    out.write.mode("overwrite").partitionBy("IsCurrent").parquet(f"{path}/{SNAPSHOT}={number}")
+    # static: a session may overwrite only the folders it writes, leaving a failed run's others
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("IsCurrent").parquet(f"{path}/{SNAPSHOT}={number}")
     return True
 
 

@@ -21,6 +21,7 @@ from tidemark.operators.conform import (
 from tidemark.operators.metrics import to_fact
 from tidemark.operators.scd2 import STATION_COLUMNS, scd2_stage
 from tidemark.schemas import LANDED_STATION, WEATHER_METRICS
+from tidemark.sources.tables import spread
 
 SOURCE = "orders_feed"
 DAY_1 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -73,11 +74,11 @@ def station_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, sf_dir: str, text_time: bool = True) -> DataFrame:
+def readings(lineitem: DataFrame, text_time: bool = True) -> DataFrame:
     """Flat landed readings: line items. Zero tax and discount stand for no value."""
     shipped = F.col("l_shipdate")
     moment = F.date_format(shipped, ISO) if text_time else shipped.cast("timestamp")
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem.select(
         F.concat(F.lit("S"), "l_suppkey").alias("station_geohash"),
         moment.alias("datetime"),
         F.col("l_partkey").alias("visibility"),
@@ -93,7 +94,7 @@ def readings(spark: SparkSession, sf_dir: str, text_time: bool = True) -> DataFr
 
 
 def silver_readings(spark: SparkSession, sf_dir: str, text_time: bool = True) -> DataFrame:
-    rows = readings(spark, sf_dir, text_time)
+    rows = readings(spread(table(spark, sf_dir, "lineitem")), text_time)
     return conform(rows, OBSERVATION_FIELDS, OBSERVATION_HASH, SOURCE, as_of=DAY_1)
 
 

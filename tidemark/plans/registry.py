@@ -298,9 +298,10 @@ def _station_drive_list(spark, sf_dir):
 
 @_query
 def landed_roundtrip_explode(spark, sf_dir):
-    base = scratch_dir(spark, "landed")
-    envelopes = to_envelopes(domain.readings(spark, sf_dir), "station_geohash", "20240101_000000+0000")
-    path = write_landed(envelopes, base, "20240101_000000+0000")
+    batch = "20240101_000000+0000"
+    readings = domain.readings(table(spark, sf_dir, "lineitem"))
+    envelopes = to_envelopes(readings, "station_geohash", batch)
+    path = write_landed(envelopes, scratch_dir(spark, "landed"), batch)
     landed = read_landed(spark, path, schemas.LANDED_OBSERVATION)
     return flatten(landed, "data", ["station_geohash", "extracted_at"])
 
@@ -499,7 +500,7 @@ def layered_full_run(spark, sf_dir):
             lake,
             Run(run_id, day, SOURCE),
             stations=domain.station_records(spark, sf_dir),
-            readings=domain.readings(spark, sf_dir),
+            readings=domain.readings(table(spark, sf_dir, "lineitem")),
             calendar=span,
             copies={"fact": [copy]},
         )

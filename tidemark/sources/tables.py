@@ -102,6 +102,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Put all cores to work on a small scan whose rows are costly to process.
+
+    One file of one row group is one task, whatever follows. A scan with a task
+    per core already is returned as it is, so a large input never pays for a
+    shuffle here. ``scan`` must not hold a shuffle itself, and nothing that
+    depends on row positions may follow.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 class Target(NamedTuple):
     """Where a table is published: a path, or a connector's options."""
 

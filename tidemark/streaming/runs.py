@@ -50,7 +50,8 @@ def write_batch(
     rows without caching a batch that may be large.
     """
     folder = f"{path}/{BATCH}={batch_id}"
-    writer = batch.write.mode("overwrite")
+    # static: the whole folder is replaced whatever the session's default is
+    writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     for copy in copies:
         stored = batch.sparkSession.read.schema(batch.schema).parquet(folder)
