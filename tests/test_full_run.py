@@ -2,12 +2,14 @@ from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.scd2 import read_dimension
 from tidemark.plans import full_run
 from tidemark.plans.full_run import Lake, Run, run_layers
 from tidemark.sources.files import table_exists
+from tidemark.sources.landed import batch_id, to_envelopes, write_landed
 from tidemark.sources.tables import Target, read_table
 from tidemark.streaming import read_batches
 
@@ -146,3 +148,22 @@ def test_bronze_keeps_its_declared_columns(spark, folder):
     stored = read_table(spark, lake.bronze_stations)
     assert stored.columns == schemas.BRONZE_STATION.fieldNames()
     assert stored.select(F.col("_processed_at").cast("timestamp_ntz")).first()[0] == datetime(2024, 1, 1, 6)
+
+
+def test_new_fields_of_a_reading_are_taken_along(spark, folder):
+    lake = Lake(folder)
+    narrow = readings(spark, ("a", "2024-01-01T00:00:00Z", 1.0))
+    wide = readings(spark, ("a", "2024-01-02T00:00:00Z", 2.0)).withColumn("snow_depth", F.lit(0.5))
+    reading = T.StructType([*schemas.READING.fields, T.StructField("snow_depth", T.DoubleType())])
+
+    def land(n, rows):
+        batch = batch_id(DAYS[n])
+        write_landed(to_envelopes(rows, "station_geohash", batch), lake.landed_observations, batch)
+
+    land(0, narrow)
+    assert full_run.bronze_observations(spark, lake, Run("r0", DAYS[0], "feed"))
+    land(1, wide)
+    assert full_run.bronze_observations(spark, lake, Run("r1", DAYS[1], "feed"), reading)
+    assert not full_run.bronze_observations(spark, lake, Run("r2", DAYS[2], "feed"), reading)
+    stored = read_table(spark, lake.bronze_observations, schemas.bronze_observation(reading))
+    assert sorted((r.temperature, r.snow_depth) for r in stored.collect()) == [(1.0, None), (2.0, 0.5)]

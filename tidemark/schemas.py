@@ -71,9 +71,14 @@ _AUDIT = _struct(_source_file="s", _processed_at="t", _extraction_id="s", _row_h
 
 BRONZE_STATION = T.StructType(LANDED_STATION.fields + _AUDIT.fields)
 
-BRONZE_OBSERVATION = T.StructType(
-    _struct(station_geohash="s", extracted_at="s").fields + READING.fields + _AUDIT.fields
-)
+
+def bronze_observation(reading: T.StructType) -> T.StructType:
+    """Schema of flattened, audited readings."""
+    keys = _struct(station_geohash="s", extracted_at="s")
+    return T.StructType(keys.fields + reading.fields + _AUDIT.fields)
+
+
+BRONZE_OBSERVATION = bronze_observation(READING)
 
 SILVER_STATION = _struct(
     station_name="s",

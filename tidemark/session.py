@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +42,11 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared folder the cluster names.
 
@@ -51,6 +57,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_base()
     return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
