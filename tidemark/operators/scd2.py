@@ -206,7 +206,6 @@ def point_in_time(
     key: str = "StationKey",
     keep_unmatched: bool = False,
     first_open: bool = True,
-    bucket: str = "month",
     few_versions: int = FEW_VERSIONS,
 ) -> DataFrame:
     """Join each event with the version valid at its moment.
@@ -214,48 +213,72 @@ def point_in_time(
     Valid means start <= moment < end, without limit where the end is null and,
     with ``first_open``, before the start of a key's first version.
 
-    The join is on the key with the range as a further condition. Where some key
-    has more than ``few_versions`` versions, both sides also carry the
-    ``bucket`` of time they fall in, so that a row meets only the versions alive
-    in its bucket.
+    Keys with few versions are joined on the key, the range being a further
+    condition. Keys with up to ``few_versions`` squared also join on a time
+    bucket, that many over the whole span of the events; keys with more on
+    correspondingly finer ones. So a row meets few versions however many its key
+    has, and as a version is repeated once per bucket it lasts, the versions of
+    each group of keys at most double: size checks made before still hold.
     """
-    start, end = F.col("EffStartDate"), F.col("EffEndDate")
+    few = max(few_versions, 2)
+    at = F.col(moment_column).cast("timestamp")
+    rows = events.withColumns({"_pk": F.col(event_key), "_at": at})
     per_key = dimension.groupBy(F.col(key).alias("_pk")).agg(
         F.min("EffStartDate").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    most = per_key.agg(F.max("_n")).first()[0] or 0
-    versions = dimension.withColumn("_pk", F.col(key))
-    low = start
-    if first_open:
-        versions = versions.join(per_key.select("_pk", "_first"), "_pk")
-        low = F.when(start > F.col("_first"), start)
-    versions = versions.select(
-        "_pk", low.alias("_low"), end.alias("_high"), F.struct(*dimension.columns).alias("_version")
-    )
-    at = F.col(moment_column).cast("timestamp")
-    rows = events.withColumns({"_pk": F.col(event_key), "_at": at})
-    on = ["_pk"]
-    span = value_range(rows, "_at") if most > few_versions else None
-    if span:
-        begin, finish = span
-        # only the buckets that events fall in are needed of an open version
-        born = F.greatest(F.coalesce("_low", begin), begin)
-        died = F.least(F.coalesce("_high", finish), finish)
-        buckets = F.sequence(
-            F.date_trunc(bucket, born), F.date_trunc(bucket, died), F.expr(f"interval 1 {bucket}")
+    start = F.col("EffStartDate")
+    versions = (
+        dimension.withColumn("_pk", F.col(key))
+        .join(per_key, "_pk")
+        .select(
+            F.col("_pk").alias("_vk"),
+            (F.when(start > F.col("_first"), start) if first_open else start).alias("_low"),
+            F.col("EffEndDate").alias("_high"),
+            F.col("_n"),
+            F.struct(*dimension.columns).alias("_version"),
         )
-        versions = versions.filter(born <= died).withColumn("_bucket", F.explode(buckets))
-        rows = rows.withColumn("_bucket", F.date_trunc(bucket, "_at"))
-        on.append("_bucket")
-    left, right = rows.alias("e"), versions.alias("v")
+    )
+    most = per_key.agg(F.max("_n")).first()[0] or 0
+    span = value_range(rows, "_at") if most > few else None
+
     valid = (F.col("_low").isNull() | (F.col("_at") >= F.col("_low"))) & (
         F.col("_high").isNull() | (F.col("_at") < F.col("_high"))
     )
-    for name in on:
-        valid = valid & (F.col(f"e.{name}") == F.col(f"v.{name}"))
-    joined = left.join(right, valid, "left" if keep_unmatched else "inner")
-    taken = set(events.columns)
-    attributes = [
-        F.col(f"_version.{c}").alias(c) for c in dimension.columns if c not in taken
-    ]
-    return joined.select(*[F.col(f"e.{c}") for c in events.columns], *attributes)
+    same_key = F.col("_pk") == F.col("_vk")
+    found = []
+    buckets = 1
+    while True:
+        part, on, name = versions, same_key & valid, f"_version_{buckets}"
+        if span:
+            part = part.filter((F.col("_n") > (buckets if buckets > 1 else 0)) & (F.col("_n") <= buckets * few))
+        if buckets > 1:
+            part = _in_buckets(part, span, buckets)
+            on = (_bucket(F.col("_at"), span, buckets) == F.col("_bucket")) & on
+        last = not span or buckets * few >= most
+        how = "inner" if last and not found and not keep_unmatched else "left"
+        part = part.withColumnRenamed("_version", name).drop("_n")
+        rows = rows.join(part, on, how).drop("_vk", "_low", "_high", "_bucket")
+        found.append(F.col(name))
+        if last:
+            break
+        buckets *= few
+    rows = rows.withColumn("_version", F.coalesce(*found))
+    if not keep_unmatched:
+        rows = rows.filter(F.col("_version").isNotNull())
+    attributes = [c for c in dimension.columns if c not in events.columns]
+    return rows.select(*events.columns, *[F.col(f"_version.{c}").alias(c) for c in attributes])
+
+
+def _bucket(at: Column, span: tuple[Column, Column], buckets: int) -> Column:
+    """Number of the equal part of ``span`` that ``at`` falls in."""
+    low, high = (F.unix_micros(c) for c in span)
+    return F.floor((F.unix_micros(at) - low) / F.ceil((high - low + 1) / buckets))
+
+
+def _in_buckets(versions: DataFrame, span: tuple[Column, Column], buckets: int) -> DataFrame:
+    """Versions alive within ``span``, once for each bucket of it they touch."""
+    low, high = span
+    born = F.greatest(F.coalesce("_low", low), low)
+    died = F.least(F.coalesce("_high", high), high)
+    touched = F.sequence(_bucket(born, span, buckets), _bucket(died, span, buckets))
+    return versions.filter(born <= died).withColumn("_bucket", F.explode(touched))
