@@ -256,7 +256,7 @@ def seed_stations(spark, sf_dir):
     )
     seed = table(spark, sf_dir, "supplier").select(
         # the byte order mark that spreadsheets put in front of the header
-        F.concat("s_name", F.lit(', "main"')).alias("﻿station_name"),
+        F.concat("s_name", F.lit(', "main"')).alias("\ufeffstation_name"),
         F.concat(F.lit("Region "), nation.cast("string")).alias("region"),
         F.lit("GB").alias("country_code"),
         location.alias("location"),

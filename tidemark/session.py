@@ -16,6 +16,8 @@ _SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # noting the caller's line for every column expression doubles the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
