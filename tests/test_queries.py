@@ -4,10 +4,11 @@ import pytest
 from compare import database, differences
 
 import __spark_entry__ as entry_point
+from tidemark.plans import registry
+from tidemark.plans.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,8 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLE.keys() <= entry_point.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
