@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Characters of text that a Python task works on at a time.
 SLICE_CHARS = 4 << 20
@@ -16,6 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def labelled_sample(docs: DataFrame, labelled: DataFrame, key: str, most: int) -> DataFrame:
+    """Rows of ``docs`` for at most ``most`` keys of ``labelled``.
+
+    The keys with the smallest hashes are taken, so the sample does not depend on row
+    order; only its keys, a number bounded by ``most``, are broadcast.
+    """
+    ids = (
+        labelled.select(labelled[key])
+        .where(F.col(key).isNotNull())
+        .distinct()
+        .orderBy(F.xxhash64(key), key)
+        .limit(most)
+    )
+    return docs.join(F.broadcast(ids), key, "left_semi")
+
+
 def slices(texts: Sequence[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of ``texts`` of about ``most`` characters; never empty ones."""
     begin = size = 0

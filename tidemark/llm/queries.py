@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import trie_bpe
+from tidemark.llm import line_crf, secret_scan, trie_bpe
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,8 +31,35 @@ def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    field = line_crf.train_from(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return line_crf.judge_quality(docs, field).drop("content_lines")
+
+
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = secret_scan.train_from(docs, table(spark, sf_dir, "labels", "doc_id"))
+    spans = secret_scan.find_secrets(docs, model)
+
+    def shown(of):
+        return F.array_join(F.transform(of, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return spans.select(
+        "doc_id",
+        *(count(kind) for kind in secret_scan.KINDS),
+        F.sha2(shown(F.filter("spans", lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
+        shown(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": bpe_digests,
+    "op7_line_quality": line_quality,
+    "op8_secrets": secret_spans,
 }
 
 ORACLE: dict[str, str] = {}
