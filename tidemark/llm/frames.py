@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
+
+import tidemark
 
 #: Characters of text that a Python task works on at a time.
 SLICE_CHARS = 4 << 20
@@ -17,6 +24,29 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package's source to the executors, once for each Spark context.
+
+    The archive is what the driver uploads; Spark's own file server distributes it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = Path(tidemark.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-source-"), "tidemark-source.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tidemark_shipped = True
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def labelled_sample(docs: DataFrame, labelled: DataFrame, key: str, most: int) -> DataFrame:
     """Rows of ``docs`` for at most ``most`` keys of ``labelled``.
 
@@ -69,9 +99,6 @@ def map_texts(
                 columns = work(keys[begin:end], texts[begin:end])
                 yield pa.RecordBatch.from_pydict(columns, schema=arrow)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
     spark_schema = _parse_datatype_string(f"`{key}` {kind}, {schema}")
     arrow = to_arrow_schema(spark_schema)
-    return source.mapInArrow(run, spark_schema)
+    return map_arrow(source, run, spark_schema)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.frames import labelled_sample, map_texts, slices
+from tidemark.llm.frames import labelled_sample, map_arrow, map_texts, slices
 
 # The base rules.
 SYMBOLS = "#*$%&|<>"
@@ -304,7 +304,7 @@ def keep_good(df: DataFrame, field: Field, text: str = "text") -> DataFrame:
             kept = [k for begin, end in slices(texts) for k in judge(texts[begin:end], field)["kept"]]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
 
 
 def train_from(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Field:

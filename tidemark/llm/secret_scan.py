@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import labelled_sample, map_texts, slices
+from tidemark.llm.frames import labelled_sample, map_arrow, map_texts, slices
 
 # What the patterns ask for.
 KINDS = ("assign", "access", "hex", "random")
@@ -187,7 +187,7 @@ def mask_secrets(
                     batch = batch.set_column(size_at, kind, pa.array(sizes, kind.type))
             yield batch
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def masked(text: str, spans: list[tuple], mask: str) -> str:
@@ -218,7 +218,7 @@ def train_from(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text:
                     schema=pa.schema([("value", pa.string()), ("secret", pa.bool_())]),
                 )
 
-    picked = rows.mapInArrow(pick, "value string, secret boolean")
+    picked = map_arrow(rows, pick, "value string, secret boolean")
     # of each side the strings with the smallest hashes, a bounded number
     order = Window.partitionBy("secret").orderBy(F.xxhash64("value"), "value")
     few = picked.distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= SAMPLE_STRINGS)
