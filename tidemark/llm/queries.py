@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_crf, secret_scan, trie_bpe
+from tidemark.llm import line_crf, order_minhash, secret_scan, trie_bpe
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,10 +56,15 @@ def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": bpe_digests,
     "op7_line_quality": line_quality,
     "op8_secrets": secret_spans,
+    "op10_near_duplicates": near_duplicates,
 }
 
 ORACLE: dict[str, str] = {}
