@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_crf, order_minhash, secret_scan, trie_bpe
+from tidemark.llm import latent_leaks, line_crf, order_minhash, secret_scan, trie_bpe
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,10 +60,16 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return latent_leaks.find_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": bpe_digests,
     "op7_line_quality": line_quality,
     "op8_secrets": secret_spans,
+    "op9_benchmark_leaks": benchmark_leaks,
     "op10_near_duplicates": near_duplicates,
 }
 
