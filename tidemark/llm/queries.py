@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import latent_leaks, line_crf, order_minhash, secret_scan, trie_bpe
+from tidemark.llm import latent_leaks, line_crf, order_minhash, secret_scan, trie_bpe, url_templates
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,12 +65,21 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent_leaks.find_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    labels = url_templates.labels_of_pages(pages, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return url_templates.judge_urls(pages, labels)
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": bpe_digests,
+    "op5_url_verdicts": url_verdicts,
     "op7_line_quality": line_quality,
     "op8_secrets": secret_spans,
     "op9_benchmark_leaks": benchmark_leaks,
     "op10_near_duplicates": near_duplicates,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_url_verdicts": url_templates.oracle(),
+}
