@@ -81,14 +81,16 @@ def map_texts(
     text: str,
     schema: str,
     make: Callable[[], Callable[[list, list[str]], dict[str, list]]],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``key``, then the columns of ``schema``, from (keys, texts) in slices of bounded size.
+    """``key``, then the columns of ``schema``, from (keys, texts) in slices of bounded size,
+    then ``keep``, columns handed on as they are.
 
     ``make`` is called once in each task and returns the function of (keys, texts) that
     gives the columns, ``key`` among them. Null texts arrive as empty ones.
     """
-    kind = df.schema[key].dataType.simpleString()
-    source = df.select(df[key], df[text].cast("string"))
+    kinds = [f"`{name}` {df.schema[name].dataType.simpleString()}" for name in (key, *keep)]
+    source = df.select(df[key], df[text].cast("string").alias("_text"), *(df[name] for name in keep))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -97,8 +99,10 @@ def map_texts(
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for begin, end in slices(texts):
                 columns = work(keys[begin:end], texts[begin:end])
+                for n, name in enumerate(keep, 2):
+                    columns[name] = batch.column(n).slice(begin, end - begin)
                 yield pa.RecordBatch.from_pydict(columns, schema=arrow)
 
-    spark_schema = _parse_datatype_string(f"`{key}` {kind}, {schema}")
+    spark_schema = _parse_datatype_string(", ".join([kinds[0], schema, *kinds[1:]]))
     arrow = to_arrow_schema(spark_schema)
     return map_arrow(source, run, spark_schema)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import latent_leaks, line_crf, order_minhash, secret_scan, trie_bpe, url_templates
+from tidemark.llm import dom_content, latent_leaks, line_crf, order_minhash, secret_scan, trie_bpe, url_templates
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,8 +71,14 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(pages, labels)
 
 
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return dom_content.extract(pages, dom_content.trained(), keep=("url",))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": bpe_digests,
+    "op4_main_text": main_text,
     "op5_url_verdicts": url_verdicts,
     "op7_line_quality": line_quality,
     "op8_secrets": secret_spans,
@@ -81,5 +87,6 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_main_text": main_text,
     "op5_url_verdicts": url_templates.oracle(),
 }
