@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import dom_content, latent_leaks, line_crf, order_minhash, secret_scan, trie_bpe, url_templates
+from tidemark.llm import dom_content, latent_leaks, line_crf, order_minhash, repeated_spans, secret_scan, trie_bpe, url_templates
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,10 +76,23 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dom_content.extract(pages, dom_content.trained(), keep=("url",))
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans.removable(table(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": bpe_digests,
     "op4_main_text": main_text,
     "op5_url_verdicts": url_verdicts,
+    "op6_repeated_spans": repeated_bytes,
     "op7_line_quality": line_quality,
     "op8_secrets": secret_spans,
     "op9_benchmark_leaks": benchmark_leaks,
