@@ -8,7 +8,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import dom_content, latent_leaks, line_crf, order_minhash, repeated_spans, secret_scan, trie_bpe, url_templates
+from tidemark.llm import (
+    dom_content,
+    latent_leaks,
+    license_scan,
+    line_crf,
+    order_minhash,
+    quote_links,
+    repeated_spans,
+    secret_scan,
+    trie_bpe,
+    url_templates,
+)
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,8 +99,18 @@ def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reply_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.reply_order(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_reply_order": reply_ordered,
     "op2_bpe": bpe_digests,
+    "op3_licenses": license_places,
     "op4_main_text": main_text,
     "op5_url_verdicts": url_verdicts,
     "op6_repeated_spans": repeated_bytes,
@@ -100,6 +121,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_reply_order": quote_links.oracle(),
+    "op3_licenses": license_places,
     "op4_main_text": main_text,
     "op5_url_verdicts": url_templates.oracle(),
 }
