@@ -1,0 +1,89 @@
+"""Planted benchmark passages, whole and paraphrased, between clean documents."""
+
+import random
+
+import numpy as np
+import pytest
+
+from tidemark.llm import latent_leaks
+from tidemark.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def longest(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b, 1):
+            new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_common_subsequence():
+    rng = random.Random(1)
+    for _ in range(300):
+        a = [rng.randint(1, 6) for _ in range(rng.randint(1, 70))]
+        b = [rng.randint(1, 8) for _ in range(rng.randint(0, 90))]
+        assert latent_leaks.common(b, latent_leaks.masks_of(a), len(a)) == longest(a, b)
+
+
+@pytest.mark.parametrize("block", [500_000, 400])
+def test_planted(spark, monkeypatch, block):
+    monkeypatch.setattr(latent_leaks, "BLOCK_CHARS", block)
+    rng = random.Random(2)
+    common = ["the", "of", "and", "to", "in", "is", "that"]
+    rare = ["".join(rng.choices("abcdefghiklmnoprstu", k=7)) for _ in range(3000)]
+
+    def prose(n):
+        return [rng.choice(common) if rng.random() < 0.5 else rng.choice(rare) for _ in range(n)]
+
+    items = {n: prose(rng.randint(15, 110)) for n in range(12)}
+    docs, truth = {}, set()
+    for n in range(150):
+        words = prose(rng.randint(0, 300))
+        if n % 5 == 0:
+            item = rng.choice(sorted(items))
+            passage = list(items[item])
+            if n % 10 == 0:  # a word in eight is another one
+                for at in range(3, len(passage), 8):
+                    passage[at] = "synonym"
+            at = rng.randint(0, len(words))
+            words[at:at] = passage
+            truth.add((n, item))
+        elif n % 7 == 0:  # a phrase of an item is no leak
+            words += rng.choice(list(items.values()))[:5]
+        docs[n] = " ".join(words)
+    bench = [(k, " ".join(w).capitalize() + ".") for k, w in items.items()] + [(90, None), (91, " ?! ")]
+    rows = [*docs.items(), (900, None), (901, "")]
+    found = latent_leaks.find_leaks(
+        spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "text as ids", "doc_id as item_id"),
+        spark.createDataFrame(bench, "item_id long, text string"),
+    )
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == truth
+
+
+def test_space_spans_the_items():
+    """Items of different words have different directions, of length one after scaling."""
+    idf = np.ones(7, np.float32)
+    idf[0] = 0
+    rows = [[1, 2, 3], [4, 5, 6]]
+    slot = np.repeat([0, 1], 3)
+    parts = latent_leaks._rows(slot, np.array(rows).ravel(), idf)
+    assert parts[2] == pytest.approx(np.full(6, 3**-0.5))
+
+
+def test_given_documents(spark):
+    found = {(r.doc_id, r.item_id) for r in QUERIES["op9_benchmark_leaks"](spark, SF_DIR).collect()}
+    items = {r.item_id: latent_leaks.words_of(r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
+    shingles = {k: {*zip(*(w[n:] for n in range(5)))} for k, w in items.items()}
+    truth = set()
+    for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect():
+        words = latent_leaks.words_of(row.text)
+        own = {*zip(*(words[n:] for n in range(5)))}
+        truth |= {(row.doc_id, k) for k, s in shingles.items() if len(own & s) >= 0.5 * len(s)}
+    assert found == truth
+    kept = latent_leaks.without_leaks(spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.read.parquet(f"{SF_DIR}/benchmark.parquet"))
+    assert {r.doc_id for r in kept.collect()}.isdisjoint(d for d, _ in truth)
+    assert kept.count() == 1000 - len({d for d, _ in truth})
