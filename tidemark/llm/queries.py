@@ -122,7 +122,5 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op1_reply_order": quote_links.oracle(),
-    "op3_licenses": license_places,
-    "op4_main_text": main_text,
     "op5_url_verdicts": url_templates.oracle(),
 }
