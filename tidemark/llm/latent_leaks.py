@@ -23,10 +23,11 @@ from tidemark.sources.tables import staged
 
 CELL = 32  # words; a window is two neighbouring cells
 PIECE = 48  # words of an item's passage, at most
-RANK, SPARE = 64, 16
+RANK, SPARE = 64, 8
 #: Words that carry less than this part of the highest IDF are left out of the rows.
-IDF_FLOOR = 0.2
-LEAST_COSINE = 0.3
+IDF_FLOOR = 0.3
+#: A candidate's cosine, and the part of a passage that its window must hold by projection.
+LEAST_COSINE, LEAST_HELD = 0.4, 0.25
 #: A leak holds this share of the item's words in order, or the lower share and the answer's.
 LEAST_WHOLE, LEAST_PART, LEAST_ANSWER = 0.8, 0.5, 0.8
 #: Characters of benchmark text that one search holds in memory, on average; more takes several.
@@ -275,7 +276,9 @@ class Search:
         self.items, self.space, self.least = items, space, least_cosine
         pieces = [(n, piece) for n, item in enumerate(items) for piece in _pieces(item.words)]
         self.item_of = np.array([n for n, _ in pieces])
-        self.targets = _unit(np.stack([space[np.array(p, np.int64)].sum(0) for _, p in pieces]))
+        targets = np.stack([space[np.array(p, np.int64)].sum(0) for _, p in pieces])
+        self.lengths = np.linalg.norm(targets, axis=1)
+        self.targets = _unit(targets)
         self.masks = [(masks_of(i.words), masks_of(i.answer)) for i in items]
 
     def candidates(self, rows: list[bytes]) -> dict[tuple[int, int], list[tuple[int, float]]]:
@@ -293,14 +296,19 @@ class Search:
         last = np.zeros(len(window), bool)
         last[laid.firsts[1:][np.diff(laid.firsts) > 0] - 1] = True
         window[~last] += sums[1:][~last]
+        lengths = np.linalg.norm(window, axis=1)
         window = _unit(window)
         row_of = np.repeat(np.arange(len(rows)), np.diff(laid.firsts))
         for begin in range(0, len(window), 1 << 14):
             near = window[begin : begin + (1 << 14)] @ self.targets.T
-            for at, target in zip(*np.nonzero(near >= self.least), strict=True):
-                row = int(row_of[begin + at])
-                place = (begin + int(at) - int(laid.firsts[row])) * CELL
-                found.setdefault((row, int(self.item_of[target])), []).append((place, float(near[at, target])))
+            at, target = np.nonzero(near >= self.least)
+            cosine = near[at, target]
+            held = cosine * lengths[begin + at] >= LEAST_HELD * self.lengths[target]
+            at, target, cosine = at[held] + begin, target[held], cosine[held]
+            row = row_of[at]
+            place = (at - laid.firsts[row]) * CELL
+            for r, n, p, c in zip(*(x.tolist() for x in (row, self.item_of[target], place, cosine)), strict=True):
+                found.setdefault((r, n), []).append((p, c))
         return found
 
     def matches(self, rows: list[bytes]) -> list[tuple[int, int, float, float, float]]:

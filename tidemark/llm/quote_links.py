@@ -17,9 +17,10 @@ from tidemark.sources.tables import staged
 # White space and the marks of a quoted line, the end of the line that
 # introduces a quote.
 _SPACE = r"[ \t\r\n\f\x0B]"
-_MARKS = r"^[ \t]*>(?:[ \t]*>)*"
+_MARKS = r"^[ \t]*>[ \t>]*"
 _INTRODUCES = r"(?i)(wrote|writes|said|a écrit|schrieb|escribió)[ \t]*:[ \t\r]*$"
-_BLANK = r"\n(?:[ \t\r\f\x0B]*\n)+"
+_BLANK = r"\n[ \t\r\f\x0B]*\n[ \t\r\n\f\x0B]*"
+_ENDS = " \t\r\n\f\v"
 
 
 def _normal(text: Column) -> Column:
@@ -88,7 +89,7 @@ def _hashed(units: DataFrame, *keep: str) -> DataFrame:
 def own_text(lines: Column) -> Column:
     """What stands outside quotes, without white space around it."""
     own = F.transform(F.filter(lines, lambda p: p["level"] == 0), lambda p: p["body"])
-    return F.regexp_replace(F.array_join(own, "\n"), f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(F.array_join(own, "\n"), F.lit(_ENDS))
 
 
 def quote_links(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
@@ -195,8 +196,7 @@ runs AS (
   SELECT id, conv_id, turn, run, any_value(level) AS level, string_agg(body, chr(10) ORDER BY n) AS text
   FROM grouped GROUP BY id, conv_id, turn, run),
 owned AS (
-  SELECT id, conv_id, turn, coalesce(regexp_replace(string_agg(body, chr(10) ORDER BY n) FILTER (WHERE level = 0),
-         '^{_SPACE}+|{_SPACE}+$', '', 'g'), '') AS text, count(*) FILTER (WHERE level > 0) AS n_quoted
+  SELECT id, conv_id, turn, coalesce(trim(string_agg(body, chr(10) ORDER BY n) FILTER (WHERE level = 0), '{_ENDS}'), '') AS text, count(*) FILTER (WHERE level > 0) AS n_quoted
   FROM leveled GROUP BY id, conv_id, turn),
 parts AS (
   SELECT id, conv_id, turn, run, level, 0 AS kind, text AS part FROM runs
