@@ -1,9 +1,12 @@
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.bronze import moment
 from tidemark.operators.incremental import first_per_key, latest_per_key, only_new
+from tidemark.plans.full_run import Run
 from tidemark.sources.files import table_exists
 from tidemark.sources.tables import Target, append_load, free_load, publish, read_table
 
@@ -85,7 +88,9 @@ def test_append_load(spark, folder):
     rows.write.parquet(f"{path}/_loading-run-2")
     assert read_table(spark, path, rows.schema).count() == 2
     assert append_load(only_a, path, "run-2")
-    assert not append_load(only_a, path, "run-2")  # finished
+    assert not append_load(only_a, path, "run-2", replay=True)  # finished
+    with pytest.raises(FileExistsError):
+        append_load(rows, path, "run-2")
     assert not append_load(rows.filter("k = 'z'"), path, "run-3")
     assert sorted(os.listdir(path)) == ["load_id=run-1", "load_id=run-2"]
     assert read_table(spark, path, rows.schema).count() == 3
@@ -123,3 +128,27 @@ def test_publish_refreshes_or_appends(spark, folder):
     assert read_table(spark, target.path, rows.schema).count() == 2
     publish(rows, Target(f"{folder}/json", "json"))
     assert spark.read.schema(rows.schema).json(f"{folder}/json").collect() == rows.collect()
+
+
+def test_a_failed_refresh_leaves_the_earlier_rows(spark, folder):
+    target = Target(f"{folder}/calendar")
+    rows = frame(spark, ("a", "1", 1))
+    publish(rows, target)
+    broken = rows.selectExpr("k", "t", "cast(raise_error('stop') as int) as v")
+    with pytest.raises(Exception, match="stop"):
+        publish(broken, target)
+    assert read_table(spark, target.path).collect() == rows.collect()
+    publish(frame(spark, ("b", "2", 2)), target)
+    assert [r.k for r in read_table(spark, target.path).collect()] == ["b"]
+    # a run that ended between the two moves left the rows beside their place
+    os.rename(target.path, f"{folder}/_old-calendar")
+    publish(rows, target)
+    assert [r.k for r in read_table(spark, target.path).collect()] == ["a"]
+    assert sorted(os.listdir(folder)) == ["calendar"]
+
+
+def test_a_moment_needs_its_offset(spark):
+    with pytest.raises(ValueError):
+        moment(datetime(2024, 1, 1))
+    with pytest.raises(ValueError):
+        Run("r", datetime(2024, 1, 1), "feed")

@@ -20,10 +20,17 @@ def flatten(df: DataFrame, array: str, keep: Sequence[str]) -> DataFrame:
 
 
 def moment(as_of: datetime | Column | None) -> Column:
-    """A processing time: the given one, or the query's start."""
+    """A processing time: the given one, or the query's start.
+
+    A datetime must carry its offset; without one it would be read in the host's zone.
+    """
     if as_of is None:
         return F.current_timestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    if isinstance(as_of, Column):
+        return as_of
+    if as_of.tzinfo is None:
+        raise ValueError("a processing time needs an offset")
+    return F.lit(as_of).cast("timestamp")
 
 
 def with_audit(

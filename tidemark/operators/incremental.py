@@ -45,16 +45,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], moment: str) -> DataFrame
 def value_range(df: DataFrame, column: str) -> tuple[Column, Column] | None:
     """Smallest and largest value as literals, or None where there is no value.
 
-    Instants travel as microseconds: a naive Python datetime is ambiguous in the
-    hour that clocks are set back.
+    Instants travel as microseconds and wall times as text: Python's datetime is
+    ambiguous in the hour that clocks are set back, and read in the host's zone.
     """
-    instant = isinstance(df.schema[column].dataType, T.TimestampType)
-    value = F.unix_micros(column) if instant else F.col(column)
-    low, high = df.agg(F.min(value), F.max(value)).first()
-    if low is None:
-        return None
-    wrap = F.timestamp_micros if instant else (lambda c: c)
-    return wrap(F.lit(low)), wrap(F.lit(high))
+    kind = df.schema[column].dataType
+    low, high = F.min(column), F.max(column)
+    if isinstance(kind, T.TimestampType):
+        low, high, wrap = F.unix_micros(low), F.unix_micros(high), F.timestamp_micros
+    elif isinstance(kind, T.TimestampNTZType):
+        low, high, wrap = low.cast("string"), high.cast("string"), lambda c: c.cast(kind)
+    else:
+        wrap = lambda c: c
+    bounds = df.agg(low, high).first()
+    return None if bounds[0] is None else (wrap(F.lit(bounds[0])), wrap(F.lit(bounds[1])))
 
 
 def only_new(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import TASK_ROWS, rank_desc
 from tidemark.operators.scd2 import current_versions
+from tidemark.sources.tables import staged
 
 
 def metric_breakdown(fact: DataFrame) -> DataFrame:
@@ -52,11 +53,13 @@ def season_leaderboard(
     digits: int = 4,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Stations ranked per season by their average, with the peak beside it.
+    """Stations ranked per season by their average (``Rank``) and by their peak (``PeakRank``).
 
     The fact meets only the calendar before it is aggregated, so what is
     shuffled is one partial row per station and season, and the station join
-    works on the aggregated rows.
+    works on the aggregated rows, which are written once and counted for the ranks.
+    Averages of doubles may differ in their last digits with the order of addition;
+    they are rounded to ``digits`` before they are ranked.
     """
     current = current_versions(stations).select("StationKey", "StationName")
     metric, value = F.col("MetricName"), F.col("ValueNumeric")
@@ -72,24 +75,36 @@ def season_leaderboard(
         .join(current, "StationKey")
         .select("Season", "StationKey", "StationName", "AverageValue", "PeakValue")
     )
-    return rank_desc(scores, "Season", "AverageValue", current.count(), task_rows=task_rows)
+    scores = staged(scores, "season-scores")
+    most = scores.groupBy("Season").count().agg(F.max("count")).first()[0] or 0
+    ranked = rank_desc(scores, "Season", "AverageValue", most, task_rows=task_rows)
+    return rank_desc(ranked, "Season", "PeakValue", most, "PeakRank", task_rows)
 
 
-def missing_keys(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+def missing_keys(
+    fact: DataFrame, dimension: DataFrame, key: str, rows: Column | None = None
+) -> DataFrame:
     """Fact keys without a dimension row, and how many fact rows each has.
 
-    Keys are counted first, so the join sees each key once.
+    Keys are counted first, so the join sees each key once. ``rows`` says how many fact
+    rows a row of an aggregated ``fact`` stands for.
     """
-    counted = fact.groupBy(key).agg(F.count(F.lit(1)).alias("FactRows"))
+    counted = fact.groupBy(key).agg(F.sum(F.lit(1) if rows is None else rows).alias("FactRows"))
     return counted.join(dimension.select(key).distinct(), key, "left_anti").select(
         F.lit(key).alias("Relation"), F.col(key).cast("string").alias("KeyValue"), "FactRows"
     )
 
 
 def fact_orphans(fact: DataFrame, stations: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Fact keys that break a relation to the station or the calendar dimension."""
-    return missing_keys(fact, stations, "StationKey").unionByName(
-        missing_keys(fact, calendar, "DateKey")
+    """Fact keys that break a relation to the station or the calendar dimension.
+
+    The fact is read once, down to its pairs of keys.
+    """
+    pairs = staged(
+        fact.groupBy("StationKey", "DateKey").agg(F.count(F.lit(1)).alias("_rows")), "fact-keys"
+    )
+    return missing_keys(pairs, stations, "StationKey", F.col("_rows")).unionByName(
+        missing_keys(pairs, calendar, "DateKey", F.col("_rows"))
     )
 
 

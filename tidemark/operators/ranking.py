@@ -11,7 +11,6 @@ from tidemark.sources.tables import staged
 
 # Groups up to this size are ranked by one task each.
 TASK_ROWS = 1_000_000
-MAX_SLICES = 1000
 
 
 def rank_desc(
@@ -34,7 +33,7 @@ def rank_desc(
         return df.withColumn(name, F.rank().over(order).cast("long"))
 
     rows = staged(df, "rank-rows")
-    slices = min(ceil(at_most / task_rows) + 1, MAX_SLICES)
+    slices = ceil(at_most / task_rows) + 1
     cuts = [i / slices for i in range(1, slices)]
     limits = staged(
         rows.groupBy(F.col(group).alias("_group")).agg(

@@ -13,6 +13,7 @@ from tidemark.operators.bronze import moment
 from tidemark.operators.incremental import key_struct, latest_per_key, value_range
 from tidemark.schemas import DIM_STATION
 from tidemark.sources.files import path_exists, subfolders
+from tidemark.sources.tables import staged
 
 SNAPSHOT = "snapshot"
 
@@ -126,12 +127,9 @@ def scd2_apply(
 
 def last_snapshot(spark: SparkSession, path: str) -> int | None:
     """Number of the newest finished snapshot; unfinished ones are passed over."""
-    numbers = [
-        int(name.removeprefix(f"{SNAPSHOT}="))
-        for name in subfolders(spark, path)
-        if name.startswith(f"{SNAPSHOT}=") and path_exists(spark, f"{path}/{name}/_SUCCESS")
-    ]
-    return max(numbers, default=None)
+    names = [n for n in subfolders(spark, path) if n.startswith(f"{SNAPSHOT}=")]
+    numbers = sorted((int(n.removeprefix(f"{SNAPSHOT}=")) for n in names), reverse=True)
+    return next((n for n in numbers if path_exists(spark, f"{path}/{SNAPSHOT}={n}/_SUCCESS")), None)
 
 
 def read_dimension(
@@ -179,6 +177,7 @@ def store_dimension(
         rows, number = updates, 1
     else:
         stored = read_dimension(spark, path, schema)
+        updates = staged(updates, "dimension-updates")
         gone = (
             current_versions(stored).join(updates, key, "left_anti") if close_missing else None
         )
@@ -222,6 +221,7 @@ def point_in_time(
     """
     few = max(few_versions, 2)
     at = F.col(moment_column).cast("timestamp")
+    dimension = staged(dimension, "versions")
     rows = events.withColumns({"_pk": F.col(event_key), "_at": at})
     per_key = dimension.groupBy(F.col(key).alias("_pk")).agg(
         F.min("EffStartDate").alias("_first"), F.count(F.lit(1)).alias("_n")

@@ -21,7 +21,6 @@ from tidemark.operators.conform import (
 from tidemark.operators.metrics import to_fact
 from tidemark.operators.scd2 import STATION_COLUMNS, scd2_stage
 from tidemark.schemas import LANDED_STATION, WEATHER_METRICS
-from tidemark.sources.tables import spread
 
 SOURCE = "orders_feed"
 DAY_1 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -94,7 +93,7 @@ def readings(lineitem: DataFrame, text_time: bool = True) -> DataFrame:
 
 
 def silver_readings(spark: SparkSession, sf_dir: str, text_time: bool = True) -> DataFrame:
-    rows = readings(spread(table(spark, sf_dir, "lineitem")), text_time)
+    rows = readings(table(spark, sf_dir, "lineitem"), text_time)
     return conform(rows, OBSERVATION_FIELDS, OBSERVATION_HASH, SOURCE, as_of=DAY_1)
 
 

@@ -149,15 +149,30 @@ _EVENT_FACT = f"""
   FROM events
 """
 
-ORACLE: dict[str, str] = {
-    "season_leaderboard": f"""
+_LEADERBOARD = f"""
 WITH scores AS (
   SELECT {_SEASON.format("l_shipdate")} AS "Season", l_suppkey,
          round(avg(l_quantity), 4) AS "AverageValue", max(l_extendedprice) AS "PeakValue"
   FROM lineitem GROUP BY ALL)
 SELECT "Season", 'S' || l_suppkey AS "StationKey", s_name AS "StationName", "AverageValue", "PeakValue",
-       rank() OVER (PARTITION BY "Season" ORDER BY "AverageValue" DESC) AS "Rank"
-FROM scores JOIN supplier ON l_suppkey = s_suppkey""",
+       rank() OVER (PARTITION BY "Season" ORDER BY "AverageValue" DESC NULLS LAST) AS "Rank",
+       rank() OVER (PARTITION BY "Season" ORDER BY "PeakValue" DESC NULLS LAST) AS "PeakRank"
+FROM scores JOIN supplier ON l_suppkey = s_suppkey"""
+
+ORACLE: dict[str, str] = {
+    "season_leaderboard": _LEADERBOARD,
+    "season_leaderboard_sliced": _LEADERBOARD,
+    "dim_date_range": _calendar(
+        "(SELECT CAST(min(o_orderdate) AS DATE) FROM orders)",
+        "(SELECT CAST(max(o_orderdate) AS DATE) FROM orders)",
+    ),
+    "landed_batches_all": """
+SELECT DISTINCT 'S' || l_suppkey AS station_geohash, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS datetime
+FROM lineitem""",
+    "station_ingest": """
+SELECT s_name AS station_name, 'N' || s_nationkey AS station_geohash, n_name AS county_name,
+       upper('r' || n_regionkey) AS region_code, CAST(s_nationkey || '.001' AS DOUBLE) AS latitude
+FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal >= 0""",
     "dim_date": _SHIP_CALENDAR,
     "fact_unpivot": f"""{_FACT}
 SELECT "StationKey", "DateKey", "MetricName", "RawValue", "Unit", {_HASH} AS "RowHash" FROM fact""",
@@ -182,7 +197,9 @@ FROM fact GROUP BY "MetricName\"""",
 SELECT 'S' || l_suppkey AS "StationKey", {_day_key("l_shipdate")} AS "DateKey",
        strftime(l_shipdate, '%H:%M:%S') AS "ObservationTime", max(l_quantity) AS wind_speed,
        max(l_extendedprice) AS wind_gust, max(nullif(l_tax, 0.0)) AS temperature,
-       max(l_returnflag) AS wind_direction
+       max(l_returnflag) AS wind_direction, CAST(max(l_partkey) AS DOUBLE) AS visibility,
+       max(l_discount) AS pressure, max(nullif(l_discount, 0.0)) AS humidity,
+       CAST(max(l_linenumber) AS DOUBLE) AS weather_code
 FROM lineitem GROUP BY ALL""",
     "fact_orphans": f"""{_FACT}
 SELECT 'StationKey' AS "Relation", "StationKey" AS "KeyValue", count(*) AS "FactRows" FROM fact

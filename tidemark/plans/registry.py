@@ -20,7 +20,7 @@ from tidemark.functions import (
 )
 from tidemark.operators import marts
 from tidemark.operators.bronze import columns_first, flatten, with_audit
-from tidemark.operators.calendar import calendar_covering
+from tidemark.operators.calendar import calendar_covering, generate_dim_date
 from tidemark.operators.conform import Field, conform
 from tidemark.operators.incremental import only_new
 from tidemark.operators.metrics import to_fact, unpivot_metrics
@@ -36,10 +36,11 @@ from tidemark.operators.scd2 import (
 )
 from tidemark.plans import domain
 from tidemark.plans.domain import DAY_1, DAY_2, ISO, SOURCE, table
-from tidemark.plans.full_run import Lake, Run, run_layers
+from tidemark.plans.full_run import Lake, Run, bronze_observations, run_layers
 from tidemark.schemas import WEATHER_METRICS, Metric
 from tidemark.session import pin_utc, scratch_dir
 from tidemark.sources.landed import (
+    batch_id,
     latest_batch,
     read_landed,
     station_drive_list,
@@ -92,6 +93,23 @@ def season_leaderboard(spark, sf_dir):
     return marts.season_leaderboard(winds, domain.dimension(spark, sf_dir), calendar)
 
 
+@_query
+def season_leaderboard_sliced(spark, sf_dir):
+    """The same with groups cut into slices, as for more stations than fit one task."""
+    calendar = calendar_covering(table(spark, sf_dir, "lineitem"), "l_shipdate")
+    winds = domain.fact(spark, sf_dir, "Wind Speed", "Wind Gust")
+    return marts.season_leaderboard(winds, domain.dimension(spark, sf_dir), calendar, task_rows=3)
+
+
+@_query
+def dim_date_range(spark, sf_dir):
+    """The calendar between two given days, here the bounds of the orders."""
+    days = table(spark, sf_dir, "orders").agg(
+        *(f(F.to_date("o_orderdate")).cast("string") for f in (F.min, F.max))
+    )
+    return generate_dim_date(spark, *days.first())
+
+
 @_query
 def dim_date(spark, sf_dir):
     return calendar_covering(table(spark, sf_dir, "lineitem"), "l_shipdate")
@@ -143,13 +161,8 @@ def metric_breakdown(spark, sf_dir):
 
 @_query
 def eav_pivot(spark, sf_dir):
-    metrics = {
-        "Wind Speed": "wind_speed",
-        "Wind Gust": "wind_gust",
-        "Temperature": "temperature",
-        "Wind Direction": "wind_direction",
-    }
-    return marts.eav_pivot(domain.fact(spark, sf_dir, *metrics), metrics, {"Wind Direction"})
+    metrics = {m.name: m.name.lower().replace(" ", "_") for m in WEATHER_METRICS}
+    return marts.eav_pivot(domain.fact(spark, sf_dir), metrics, {"Wind Direction"})
 
 
 @_query
@@ -488,6 +501,51 @@ def publish_refresh(spark, sf_dir):
 # ---------------------------------------------------------------- full run
 
 
+@_query
+def landed_batches_all(spark, sf_dir):
+    """Three batches landed before one bronze run: readings by the month they were shipped."""
+    lake = Lake(scratch_dir(spark, "batches"))
+    lines = table(spark, sf_dir, "lineitem")
+    for third in range(3):
+        day = DAY_1 + timedelta(days=third)
+        part = domain.readings(lines.filter(F.month("l_shipdate") % 3 == third))
+        nested = to_envelopes(part, "station_geohash", batch_id(day))
+        write_landed(nested, lake.landed_observations, batch_id(day))
+    bronze_observations(spark, lake, Run("all", DAY_2, SOURCE))
+    stored = read_table(spark, lake.bronze_observations, schemas.BRONZE_OBSERVATION)
+    return stored.select("station_geohash", "datetime")
+
+
+@_query
+def station_ingest(spark, sf_dir):
+    """From a seed list and a metadata table to silver stations."""
+    lake = Lake(scratch_dir(spark, "ingest"))
+    nation = F.col("s_nationkey").cast("string")
+    seed = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("station_name"),
+        F.lit("seed region").alias("region"),
+        F.lit("GB").alias("country_code"),
+        F.concat(nation, F.lit(".001, -"), nation, F.lit(".002")).alias("location"),
+        F.lit("Automatic").alias("station_type"),
+        F.when(F.col("s_acctbal") >= 0, 1).otherwise(0).alias("is_monitored"),
+    )
+    path = f"{lake.root}/seed.csv"
+    seed.write.csv(path, header=True, escape='"')
+    place = F.col("n_nationkey").cast("double")
+    metadata = table(spark, sf_dir, "nation").select(
+        place.alias("latitude"),
+        (-place).alias("longitude"),
+        F.concat(F.lit("N"), "n_nationkey").alias("geohash"),
+        F.col("n_name").alias("area"),
+        F.concat(F.lit("r"), "n_regionkey").alias("region"),
+        F.lit("GB").alias("country"),
+        F.lit("Etc/UTC").alias("olson_time_zone"),
+    )
+    run_layers(spark, lake, Run("seed", DAY_1, SOURCE), mode="metadata_only", seed=(path, metadata))
+    silver = read_table(spark, lake.silver_stations, schemas.SILVER_STATION)
+    return silver.select("station_name", "station_geohash", "county_name", "region_code", "latitude")
+
+
 @_query
 def layered_full_run(spark, sf_dir):
     lake = Lake(f"{scratch_dir(spark, 'lake')}")

@@ -33,6 +33,17 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+
+
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file, also where there is one."""
+    fs, target = _open(spark, path)
+    fs.create(target, True).close()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,13 +66,16 @@ def free_load(spark: SparkSession, path: str, load: str) -> str:
     return name
 
 
-def append_load(df: DataFrame, path: str, load: str, fmt: str = "parquet") -> bool:
-    """Append ``df`` as one load and say whether rows were added.
+def append_load(
+    df: DataFrame, path: str, load: str, fmt: str = "parquet", replay: bool = False
+) -> bool:
+    """Append ``df`` as one load and say whether there were rows to add.
 
     A load is written to a hidden folder and moved into place when it is whole,
     so readers and streams never see part of it and a failed run leaves nothing
     behind that counts. A finished load is not written again: its files may have
-    been read downstream.
+    been read downstream. Its name raises FileExistsError, unless ``replay`` says that
+    these are the same rows once more.
 
     Rows are written in one pass. Looking into the written folder replaces
     counting before the write, which would compute the whole plan twice; an
@@ -86,7 +89,9 @@ def append_load(df: DataFrame, path: str, load: str, fmt: str = "parquet") -> bo
         return True
     spark, hidden = df.sparkSession, f"{path}/_loading-{load}"
     if path_exists(spark, folder):
-        return False
+        if replay:
+            return False
+        raise FileExistsError(f"load {load} of {path} is finished; free_load gives an unused name")
     df.write.format(fmt).mode("overwrite").save(hidden)
     if spark.read.format(fmt).schema(df.schema).load(hidden).isEmpty():
         drop_folder(spark, hidden)
@@ -102,18 +107,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Put all cores to work on a small scan whose rows are costly to process.
-
-    One file of one row group is one task, whatever follows. A scan with a task
-    per core already is returned as it is, so a large input never pays for a
-    shuffle here. ``scan`` must not hold a shuffle itself, and nothing that
-    depends on row positions may follow.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 class Target(NamedTuple):
     """Where a table is published: a path, or a connector's options."""
 
@@ -125,8 +118,31 @@ class Target(NamedTuple):
 def publish(
     df: DataFrame, target: Target, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
-    """Write ``df`` to a warehouse copy: ``overwrite`` refreshes it, ``append`` adds."""
-    writer = df.write.format(target.fmt).mode(mode).options(**target.options)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(target.path)
+    """Write ``df`` to a warehouse copy: ``overwrite`` refreshes it, ``append`` adds.
+
+    A folder of files is refreshed by writing a hidden one beside it that takes its place
+    when it is whole, so a failed write leaves the earlier rows.
+    """
+
+    def write(path: str | None, how: str) -> None:
+        writer = df.write.format(target.fmt).mode(how).options(**target.options)
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+
+    if mode == "overwrite" and target.path and target.fmt in _FILE_FORMATS:
+        replace_folder(df.sparkSession, target.path, lambda path: write(path, "overwrite"))
+    else:
+        write(target.path, mode)
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a hidden folder, then put it in the place of ``path``."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    fresh, old = f"{parent}/_fresh-{name}", f"{parent}/_old-{name}"
+    if not path_exists(spark, path) and path_exists(spark, old):
+        move_folder(spark, old, path)  # an earlier run ended between the two moves
+    write(fresh)
+    drop_folder(spark, old)
+    if path_exists(spark, path):
+        move_folder(spark, path, old)
+    move_folder(spark, fresh, path)
+    drop_folder(spark, old)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.sources.tables import Target, publish
+from tidemark.sources.tables import Target, publish, replace_folder
 
 BATCH = "batch_id"
 
@@ -42,19 +42,25 @@ def write_batch(
     path: str,
     copies: Sequence[Target] = (),
     partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
 ) -> None:
     """Write one micro-batch to its own folder and from there to every copy.
 
     Writing the same batch again replaces it everywhere. The copies read the
     written folder, so the batch is computed once and all sinks hold the same
-    rows without caching a batch that may be large.
+    rows without caching a batch that may be large. A batch is seen when it is whole:
+    it is written to a hidden folder that then takes its place.
     """
-    folder = f"{path}/{BATCH}={batch_id}"
-    # static: the whole folder is replaced whatever the session's default is
-    writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+    spark, folder = batch.sparkSession, f"{path}/{BATCH}={batch_id}"
+
+    def write(hidden: str) -> None:
+        # static: the whole folder is replaced whatever the session's default is
+        writer = batch.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(hidden)
+
+    replace_folder(spark, folder, write)
     for copy in copies:
-        stored = batch.sparkSession.read.schema(batch.schema).parquet(folder)
+        stored = spark.read.format(fmt).schema(batch.schema).load(folder)
         if copy.path is None:
             # a connector without folders: replays are its own concern
             publish(stored, copy, mode="append")
@@ -70,6 +76,7 @@ def run_foreach_batch(
     checkpoint: str | None = None,
     copies: Sequence[Target] = (),
     partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
 ) -> None:
     """Write ``transform`` of all new rows of ``source`` batch by batch to several sinks.
 
@@ -79,7 +86,9 @@ def run_foreach_batch(
 
     def write(batch: DataFrame, epoch: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_batch(batch, f"{query_id}-{epoch}", path, copies, partition_by)
+        if not query_id:
+            raise RuntimeError("the stream does not say its query id, which names its batches")
+        write_batch(batch, f"{query_id}-{epoch}", path, copies, partition_by, fmt)
 
     query = (
         transform(source)
@@ -91,6 +100,8 @@ def run_foreach_batch(
     query.awaitTermination()
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
     """All rows of a table written batch by batch."""
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    return spark.read.format(fmt).schema(schema).load(path).select(*schema.fieldNames())
