@@ -21,6 +21,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from tidemark.llm.frames import map_arrow, slices
+from tidemark.session import scratch_dir
+from tidemark.sources.files import drop_folder
 from tidemark.sources.tables import staged
 
 LENGTH = 200
@@ -287,9 +289,13 @@ def removable(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """
     kind = docs.schema[key].dataType.simpleString()
     plain = docs.select(docs[key].alias("_key"), docs[text].cast("string").alias("_text"))
-    every = staged(contexts(plain, "_key", "_text"), "contexts")
+    folder = scratch_dir(docs.sparkSession, "contexts")
+    found = contexts(plain, "_key", "_text")
+    found.write.parquet(folder)
+    every = docs.sparkSession.read.schema(found.schema).parquet(folder)
     twice = every.groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1").select("kmer")
     near = staged(every.join(twice, "kmer"), "contexts-again")
+    drop_folder(docs.sparkSession, folder)  # most anchors occur once; nothing reads this again
     different = staged(
         near.groupBy("kmer", "whole").agg(F.count("*").alias("n"), F.min(F.struct("_key", "at", "size", "off")).alias("one")),
         "contexts-different",
