@@ -87,3 +87,58 @@ def test_given_documents(spark):
     kept = latent_leaks.without_leaks(spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.read.parquet(f"{SF_DIR}/benchmark.parquet"))
     assert {r.doc_id for r in kept.collect()}.isdisjoint(d for d, _ in truth)
     assert kept.count() == 1000 - len({d for d, _ in truth})
+
+
+def test_item_copied_to_a_third_of_rows(spark):
+    """An item in a third of rows is found in the copies and in other documents, whole and cut."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefghiklmnoprstu", k=6)) for _ in range(20000)]
+
+    def prose(n):
+        return rng.choices(vocabulary, k=n)
+
+    leaked, others = prose(50), [prose(50) for _ in range(20)]
+    copied = leaked + prose(10)
+    docs = {n: prose(60) for n in range(600)}
+    for n in range(0, 600, 3):
+        docs[n] = copied
+    docs[1] = docs[1][:30] + leaked + docs[1][30:]
+    docs[2] = others[0][:25] + leaked[:30] + leaked[40:] + others[0][25:]  # between words of another item
+    docs[4] = others[3] + docs[4]
+    docs[5] = docs[5][:30] + leaked[:35] + docs[5][30:]  # 0.7 of it is none
+    items = dict(enumerate([leaked, *others]))
+    found = latent_leaks.find_leaks(
+        spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string"),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string"),
+    )
+    truth = {(n, 0) for n in range(0, 600, 3)} | {(1, 0), (2, 0), (2, 1), (4, 4)}
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == truth
+
+
+def test_search_equals_every_stretch():
+    """Candidates leave out no stretch of twice the item's length that is a leak."""
+    rng = random.Random(13)
+    items = []
+    for n in range(30):
+        words = [rng.randint(1, 12) if rng.random() < 0.4 else rng.randint(1, 300) for _ in range(rng.randint(3, 40))]
+        items.append(latent_leaks.Item(n, words, words[-rng.randint(3, 12) :] if n % 3 else words))
+    search = latent_leaks.Search(items, np.zeros((301, 2), np.float32), [0] * 301)
+    rows = []
+    for _ in range(120):
+        words = [rng.randint(0, 300) for _ in range(rng.randint(0, 80))]
+        held = [w for w in rng.choice(items).words if rng.random() < rng.choice((0.6, 0.8, 0.95))]
+        spread = rng.choice((0, 0.3, 0.9))
+        passage = [w for word in held for w in [word] + [0] * (rng.random() < spread)]
+        rows.append(words[:40] + passage + words[40:])
+    truth = set()
+    for r, words in enumerate(rows):
+        for n, item in enumerate(items):
+            size = len(item.words)
+            for at in range(len(words)):
+                near = words[at : at + 2 * size]
+                whole = latent_leaks.common(near, search.masks[n][0], size) / size
+                answer = latent_leaks.common(near, search.masks[n][1], len(item.answer)) / len(item.answer)
+                if whole >= 0.8 or whole >= 0.5 and answer >= 0.8:
+                    truth.add((r, n))
+    assert len(truth) > 40
+    assert {m[:2] for m in search.matches([np.array(w, "<u4").tobytes() for w in rows])} == truth

@@ -1,14 +1,18 @@
-"""Benchmark leaks by latent semantic retrieval and longest common subsequences.
-
-Passages of all documents, as TF-IDF rows over the words of the benchmark, are reduced by
-a randomised SVD whose sums Spark gathers. Windows of documents near a benchmark passage in
-the latent space are candidates; the longest common subsequence with the item, over all its
-words and over its answer, decides, so that paraphrases count and shared phrases do not.
+"""Benchmark leaks by longest common subsequences, with a latent semantic score.
+
+A leak lacks few of an item's words, so some of the item's rarest words always stand close
+together in it: that decides which stretches of a document are compared, and leaves none
+out. The longest common subsequence with the item, over all its words and over its answer,
+decides, so that paraphrases count and shared phrases do not. The cosine comes from passages
+of all documents, as TF-IDF rows over the words of the benchmark, reduced by a randomised
+SVD whose sums Spark gathers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import math
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -24,10 +28,6 @@ from tidemark.sources.tables import staged
 CELL = 32  # words; a window is two neighbouring cells
 PIECE = 48  # words of an item's passage, at most
 RANK, SPARE = 64, 8
-#: Words that carry less than this part of the highest IDF are left out of the rows.
-IDF_FLOOR = 0.3
-#: A candidate's cosine, and the part of a passage that its window must hold by projection.
-LEAST_COSINE, LEAST_HELD = 0.4, 0.25
 #: A leak holds this share of the item's words in order, or the lower share and the answer's.
 LEAST_WHOLE, LEAST_PART, LEAST_ANSWER = 0.8, 0.5, 0.8
 #: Characters of benchmark text that one search holds in memory, on average; more takes several.
@@ -269,81 +269,133 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, length, out=np.zeros_like(rows), where=length > 1e-6)
 
 
+def _probe(words: list[int], counts: Sequence[int], least: float) -> tuple[list[int], int]:
+    """The rarest of ``words``, and how many of them any text holds that has the share ``least``.
+
+    Such a text lacks at most ``lacking`` of the words, so of more than that some are there,
+    whichever are chosen; rare ones are only quicker to look for.
+    """
+    need = math.ceil(least * len(words) - 1e-9)
+    lacking = len(words) - need
+    times = Counter(words)
+    chosen, held = [], 0
+    for word in sorted(times, key=lambda w: (counts[w], w)):
+        if held >= lacking + max(min(3, need), need // 4):
+            break
+        chosen.append(word)
+        held += times[word]
+    return chosen, held - lacking
+
+
 class Search:
-    """Candidates by cosine, then exact shares, for rows of ids."""
-
-    def __init__(self, items: list[Item], space: np.ndarray, least_cosine: float):
-        self.items, self.space, self.least = items, space, least_cosine
-        pieces = [(n, piece) for n, item in enumerate(items) for piece in _pieces(item.words)]
-        self.item_of = np.array([n for n, _ in pieces])
-        targets = np.stack([space[np.array(p, np.int64)].sum(0) for _, p in pieces])
-        self.lengths = np.linalg.norm(targets, axis=1)
-        self.targets = _unit(targets)
-        self.masks = [(masks_of(i.words), masks_of(i.answer)) for i in items]
+    """Stretches that hold enough rare words of an item, then exact shares, for rows of ids."""
 
-    def candidates(self, rows: list[bytes]) -> dict[tuple[int, int], list[tuple[int, float]]]:
-        """(row, item) to the windows (first word, cosine) near the item."""
-        laid = _laid_out(rows, CELL)
-        useful = self.space[laid.ids].any(1)
-        cell, ids = laid.cell[useful], laid.ids[useful]
-        found: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        if not len(ids):
+    def __init__(self, items: list[Item], space: np.ndarray, counts: Sequence[int]):
+        self.items, self.space = items, space
+        self.targets = [
+            _unit(np.stack([space[np.array(p, np.int64)].sum(0) for p in _pieces(item.words)])) for item in items
+        ]
+        self.masks = [(masks_of(i.words), masks_of(i.answer)) for i in items]
+        probes = []
+        for n, item in enumerate(items):
+            probes.append((n, *_probe(item.words, counts, LEAST_WHOLE)))
+            if item.answer != item.words:
+                probes.append((n, *_probe(item.answer, counts, LEAST_ANSWER)))
+        self.item_of = np.array([n for n, _, _ in probes])
+        self.hits = np.array([hits for _, _, hits in probes])
+        self.spans = np.array([2 * len(items[n].words) for n, _, _ in probes])
+        words = np.array([w for _, chosen, _ in probes for w in chosen])
+        owner = np.repeat(np.arange(len(probes)), [len(chosen) for _, chosen, _ in probes])
+        self.owners = owner[np.argsort(words, kind="stable")]
+        self.degrees = np.bincount(words, minlength=len(space))
+        self.begins = np.cumsum(self.degrees) - self.degrees
+
+    def candidates(self, rows: list[bytes]) -> dict[tuple[int, int], list[int]]:
+        """(row, item) to the words at which a stretch with enough of a probe's words begins."""
+        parts = [np.frombuffer(r, "<u4") for r in rows]
+        ids = np.concatenate([*parts, np.zeros(0, "<u4")]).astype(np.int64)
+        sizes = np.array([len(p) for p in parts], np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        row_of = np.repeat(np.arange(len(rows)), sizes)
+        degrees = self.degrees[ids]
+        at = np.repeat(np.arange(len(ids)), degrees)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(degrees) - degrees, degrees)
+        probe = self.owners[self.begins[ids[at]] + nth]
+        order = np.argsort(probe, kind="stable")
+        probe, at = probe[order], at[order]
+        found: dict[tuple[int, int], list[int]] = {}
+        if not len(at):
             return found
-        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-        sums = np.zeros((laid.firsts[-1] + 1, self.space.shape[1]), np.float32)
-        sums[cell[starts]] = np.add.reduceat(self.space[ids], starts)
-        window = sums[:-1].copy()
-        last = np.zeros(len(window), bool)
-        last[laid.firsts[1:][np.diff(laid.firsts) > 0] - 1] = True
-        window[~last] += sums[1:][~last]
-        lengths = np.linalg.norm(window, axis=1)
-        window = _unit(window)
-        row_of = np.repeat(np.arange(len(rows)), np.diff(laid.firsts))
-        for begin in range(0, len(window), 1 << 14):
-            near = window[begin : begin + (1 << 14)] @ self.targets.T
-            at, target = np.nonzero(near >= self.least)
-            cosine = near[at, target]
-            held = cosine * lengths[begin + at] >= LEAST_HELD * self.lengths[target]
-            at, target, cosine = at[held] + begin, target[held], cosine[held]
-            row = row_of[at]
-            place = (at - laid.firsts[row]) * CELL
-            for r, n, p, c in zip(*(x.tolist() for x in (row, self.item_of[target], place, cosine)), strict=True):
-                found.setdefault((r, n), []).append((p, c))
+        last = np.arange(len(at)) + self.hits[probe] - 1
+        inside = last < len(at)
+        last = np.minimum(last, len(at) - 1)
+        close = inside & (probe[last] == probe) & (row_of[at[last]] == row_of[at]) & (at[last] - at < self.spans[probe])
+        at, probe = at[close], probe[close]
+        row = row_of[at]
+        for r, n, p in zip(row.tolist(), self.item_of[probe].tolist(), (at - firsts[row]).tolist(), strict=True):
+            found.setdefault((r, n), []).append(p)
         return found
 
+    def shares(self, words: list[int], n: int) -> tuple[float, float] | None:
+        """The highest shares of all words and of the answer in one stretch that is a leak.
+
+        A stretch has twice the item's length, so that a share stands close together.
+        """
+        item, (whole, answer) = self.items[n], self.masks[n]
+        size, step = len(item.words), max(1, len(item.words) // 2)
+
+        def share(near: list[int]) -> tuple[float, float]:
+            near = [w for w in near if w in whole]
+            if len(near) < LEAST_PART * size:
+                return 0.0, 0.0
+            return common(near, whole, size) / size, common(near, answer, len(item.answer)) / len(item.answer)
+
+        def leak(of: tuple[float, float]) -> bool:
+            return of[0] >= LEAST_WHOLE or of[0] >= LEAST_PART and of[1] >= LEAST_ANSWER
+
+        # each stretch that begins in a step lies in a wider one, whose shares are no lower
+        wide = [(share(words[at : at + 2 * size + step]), at) for at in range(0, len(words), step)]
+        best = None
+        for bound, at in sorted((w for w in wide if leak(w[0])), reverse=True):
+            for begin in range(at, min(at + step, len(words))):
+                if best is not None and best >= bound:
+                    break
+                if begin == at or words[begin] in whole:
+                    own = share(words[begin : begin + 2 * size])
+                    if leak(own) and (best is None or own > best):
+                        best = own
+        return best
+
+    def windows(self, row: bytes) -> np.ndarray:
+        """Latent directions of the windows of two neighbouring cells."""
+        laid = _laid_out([row], CELL)
+        cells = np.add.reduceat(self.space[laid.ids], np.arange(0, len(laid.ids), CELL))
+        cells[:-1] += cells[1:].copy()
+        return _unit(cells)
+
     def matches(self, rows: list[bytes]) -> list[tuple[int, int, float, float, float]]:
-        """(row, item, best cosine, shares of all words and of the answer) of the leaks."""
+        """(row, item, best cosine of a window, shares of all words and of the answer) of the leaks."""
         result = []
         lists: dict[int, list[int]] = {}
-        for (row, n), windows in self.candidates(rows).items():
-            item = self.items[n]
-            size = len(item.words)
-            whole, answer = self.masks[n]
+        windows: dict[int, np.ndarray] = {}
+        for (row, n), places in self.candidates(rows).items():
             if row not in lists:
                 lists[row] = np.frombuffer(rows[row], "<u4").tolist()
-            words = lists[row]
-            best = (0.0, 0.0)
-            for begin, end in _joined([p for p, _ in windows], size):
-                region = [w for w in words[begin:end] if w in whole]
-                if len(region) < LEAST_PART * size:
-                    continue
-                # a share counts only if it stands close together
-                for at in range(0, max(1, end - begin - size), max(1, size // 2)):
-                    near = words[begin + at : begin + at + 2 * size]
-                    share = common(near, whole, size) / size
-                    if share >= LEAST_PART:
-                        own = common(near, answer, len(item.answer)) / len(item.answer)
-                        best = max(best, (share, own))
-            if best[0] >= LEAST_WHOLE or best[0] >= LEAST_PART and best[1] >= LEAST_ANSWER:
-                result.append((row, n, max(c for _, c in windows), *best))
+            reach = 2 * len(self.items[n].words)
+            found = [self.shares(lists[row][begin:end], n) for begin, end in _joined(places, reach)]
+            best = max((f for f in found if f), default=None)
+            if best:
+                if row not in windows:
+                    windows[row] = self.windows(rows[row])
+                result.append((row, n, float((windows[row] @ self.targets[n].T).max()), *best))
         return result
 
 
-def _joined(places: list[int], size: int) -> list[tuple[int, int]]:
-    """Ranges of words around the windows, widened by the item's length, overlaps joined."""
+def _joined(places: list[int], reach: int) -> list[tuple[int, int]]:
+    """Ranges of words that hold every stretch of ``reach`` words around a place, overlaps joined."""
     ranges: list[list[int]] = []
     for place in sorted(places):
-        begin, end = max(0, place - size), place + 2 * CELL + size
+        begin, end = max(0, place - reach + 1), place + reach
         if ranges and begin <= ranges[-1][1]:
             ranges[-1][1] = end
         else:
@@ -363,15 +415,14 @@ def _leaks_of(docs: DataFrame, rows: list, key: str, text: str, item_key: str, s
     codes = staged(coded(docs, key, text, number), "codes")
     counts, passages = passage_counts(codes, len(number))
     idf = np.concatenate(([0.0], np.log1p(passages / np.maximum(counts, 1))))
-    idf[idf < IDF_FLOOR * idf.max()] = 0
     idf = idf.astype(np.float32)
     space = latent_space(codes, items, idf)
-    shared = docs.sparkSession.sparkContext.broadcast((items, space))
+    shared = docs.sparkSession.sparkContext.broadcast((items, space, [0, *counts.tolist()]))
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, space = shared.value
-        search = Search(items, space, LEAST_COSINE)
+        items, space, counts = shared.value
+        search = Search(items, space, counts)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for begin, end in _word_slices(texts):
