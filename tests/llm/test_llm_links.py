@@ -122,3 +122,28 @@ def test_license_query(spark):
         assert {k for k, t in docs.items() if notice in t} == {r.doc_id for r in rows if r.template == name}
     with pytest.raises(ValueError):
         license_scan.Index({"short": "three words only"})
+
+
+def test_branches_that_differ_deep_down(spark):
+    """Bad and good branches below four and more equal segments get verdicts of their own."""
+    rows, labels = [], []
+    for n in range(240):
+        kind = ("casino", "news")[n % 2]
+        path = ("blog/2023/05", "a/b/c/d/e/f")[n // 2 % 2]
+        rows.append((n, f"http://deep.example/{path}/{kind}/page-{n}"))
+        if n % 3 == 0:
+            labels.append((n, n % 2))
+    rows.append((900, "http://deep.example/x/1/y/22/z-3"))
+    got = {
+        r.page_id: r
+        for r in url_templates.judge_urls(
+            spark.createDataFrame(rows, "page_id long, url string"),
+            spark.createDataFrame(labels, "page_id long, good int"),
+            rules=(),
+        ).collect()
+    }
+    assert len(got) == len(rows)
+    for n in range(240):
+        assert got[n].verdict == ("block", "allow")[n % 2]
+        assert got[n].template.endswith(("/casino/a-0", "/news/a-0")[n % 2])
+    assert got[900].template == "/a/0/a/0/a-0"

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.tables import staged
 
-#: Segments of the tree; what lies deeper shares one token.
+#: Segments of the tree in the SQL, where what lies deeper shares one token; here it has no end.
 DEPTH = 3
 #: A segment stays as it is with this many URLs and this share of its branch.
 SUPPORT, SHARE = 10, 0.05
@@ -124,10 +124,25 @@ def judge_urls(
         .withColumn("_segments", F.filter(F.split("path", "/"), lambda s: s != ""))
         .withColumn("template", F.lit(""))
     )
-    for at in range(DEPTH):
+    deepest = rows.agg(F.max(F.size("_segments"))).first()[0] or 0
+    done = []
+    for at in range(deepest):
         rows = staged(_level(rows, at), f"url-level-{at + 1}")
-    more = F.when(F.size("_segments") > DEPTH, F.lit("/**")).otherwise(F.lit(""))
-    rows = rows.withColumn("template", F.concat("template", more))
+        if at + 1 == deepest:
+            break
+        # no segment below a branch of few URLs can be common, so all of them become shapes
+        more = F.size("_segments") > at + 1
+        large = rows.where(more).groupBy("host", "template").agg(F.count("*").alias("_below")).where(F.col("_below") >= SUPPORT)
+        split = staged(rows.join(large, ["host", "template"], "left"), f"url-branches-{at + 1}")
+        goes_on = more & F.col("_below").isNotNull()
+        rest = F.slice("_segments", at + 2, F.greatest(F.size("_segments") - (at + 1), F.lit(0)))
+        shapes = F.array_join(F.transform(rest, lambda s: F.concat(F.lit("/"), _shape(s))), "")
+        done.append(split.where(~goes_on).withColumn("template", F.concat("template", shapes)).drop("_below"))
+        rows = split.where(goes_on).drop("_below")
+        if rows.isEmpty():
+            break
+    for part in done:
+        rows = rows.unionByName(part)
     counts = rows.groupBy("host", "template").agg(F.count("_good").alias("n_labelled"), F.coalesce(F.sum("_good"), F.lit(0)).alias("n_good"))
     counts = staged(counts, "url-templates")
     hosts = counts.groupBy("host").agg(F.sum("n_labelled").alias("_m"), F.sum("n_good").alias("_g"))
