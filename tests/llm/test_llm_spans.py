@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import repeated_spans
@@ -81,3 +82,25 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     got = sorted(tuple(r) for r in QUERIES["op6_repeated_spans"](spark, SF_DIR).collect())
     assert got == literal(rows)
+
+
+def test_slices_hold_places_of_21_bits(spark, monkeypatch):
+    """Many short texts of four-byte characters, which share spans near a slice's end."""
+    seen = []
+    whole = repeated_spans.contexts_of
+
+    def contexts_of(data, ends, *rest):
+        seen.append(len(data))
+        return whole(data, ends, *rest)
+
+    monkeypatch.setattr(repeated_spans, "contexts_of", contexts_of)
+    run = []
+    monkeypatch.setattr(repeated_spans, "map_arrow", lambda df, work, schema: run.append(work) or df)
+    rng = random.Random(8)
+    texts = ["".join(chr(0x20000 + rng.randrange(4000)) for _ in range(1000)) for _ in range(590)]
+    repeated_spans.contexts(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "doc_id", "text")
+    batch = pa.RecordBatch.from_arrays([pa.array(range(590), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    keys = {k for part in run[0](iter([batch])) for k in part.column(0).to_pylist()}
+    assert keys == set(range(590))
+    assert sum(seen) == 590 * 4000
+    assert max(seen) <= 1 << 21

@@ -109,6 +109,18 @@ def _utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+def byte_slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of ``texts`` of less than 2 * PIECE bytes, if each text has less."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text) > 2 * PIECE - 1:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text)
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def contexts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key``, ``at``, ``size``, ``off``, ``kmer``, ``whole`` of every context."""
     kind = docs.schema[key].dataType.simpleString()
@@ -129,12 +141,9 @@ def contexts(docs: DataFrame, key: str, text: str) -> DataFrame:
             for begin, end in slices(texts, SLICE):
                 short = [i for i in range(begin, end) if len(texts[i]) <= PIECE // 4]
                 if short:
-                    # at most SLICE characters but for the last text
                     own = [_utf8(texts[i]) for i in short]
-                    half = len(own) - 1 if sum(map(len, own)) > 2 * PIECE - 1 else len(own)
-                    for a, b in ((0, half), (half, len(own))):
-                        if a < b:
-                            yield rows(batch.column(0).take(pa.array(short[a:b])), own[a:b])
+                    for a, b in byte_slices(own):
+                        yield rows(batch.column(0).take(pa.array(short[a:b])), own[a:b])
                 for i in set(range(begin, end)) - set(short):
                     data = _utf8(texts[i])
                     for at in range(0, max(1, len(data) - LENGTH + 1), PIECE):
