@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    balanced_packing,
     dom_content,
     latent_leaks,
     license_scan,
     line_crf,
     order_minhash,
+    phrase_trie,
     quote_links,
     repeated_spans,
     secret_scan,
+    spelling_groups,
     trie_bpe,
     url_templates,
 )
@@ -107,6 +110,19 @@ def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.find_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling_groups.spelling_groups(docs, lose_one_in=97)
+
+
+def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file())
+
+
+def phrase_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_trie.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_reply_order": reply_ordered,
     "op2_bpe": bpe_digests,
@@ -118,9 +134,13 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": secret_spans,
     "op9_benchmark_leaks": benchmark_leaks,
     "op10_near_duplicates": near_duplicates,
+    "op11_spelling_groups": spelling_variants,
+    "op12_balanced_packing": packed_pieces,
+    "op13_collocations": phrase_ranks,
 }
 
 ORACLE: dict[str, str] = {
     "op1_reply_order": quote_links.oracle(),
     "op5_url_verdicts": url_templates.oracle(),
+    "op13_collocations": phrase_trie.oracle(),
 }
