@@ -102,3 +102,25 @@ def test_sliced_ranks_equal_window_ranks(spark, task_rows):
     assert sliced.columns == plain.columns
     assert sliced.schema["Rank"].dataType == plain.schema["Rank"].dataType
     assert sorted(sliced.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+@pytest.mark.parametrize("shares", [1, 4])
+def test_season_parts_fold_to_the_same_ranks(spark, fact, stations, calendar, shares):
+    odd = [
+        ("b", 20240120, "12:00:00", "Wind Speed", float("nan"), None),
+        ("c", 20240120, "12:00:00", "Wind Speed", 1e300, None),
+        ("a", 20240716, "12:00:00", "Wind Speed", 0.1, None),
+        ("a", 20240717, "12:00:00", "Wind Speed", 0.2, None),
+    ]
+    rows = fact.unionByName(spark.createDataFrame(odd, FACT))
+    whole = marts.season_leaderboard(rows, stations, calendar)
+    share = F.pmod(F.xxhash64(*rows.columns), F.lit(shares))
+    parts = [marts.season_parts(rows.filter(share == n), calendar) for n in range(shares)]
+    folded = parts[0]
+    for part in parts[1:]:
+        folded = folded.unionByName(part)
+    found = marts.season_leaderboard_of(folded.repartition(3), stations)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    by_station = {(r.Season, r.StationKey): r.AverageValue for r in found.collect()}
+    assert by_station["Winter", "a"] == 4.5 and by_station["Summer", "a"] == 0.15
+    assert str(by_station["Winter", "b"]) == "nan" and by_station["Winter", "c"] == 1e300

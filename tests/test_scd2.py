@@ -162,9 +162,9 @@ def brute_force(events, versions, first_open=True):
     return sorted(out)
 
 
-@pytest.mark.parametrize("few", [32, 5, 2])
+@pytest.mark.parametrize("few, busy", [(32, 1000), (5, 1000), (2, 7), (0, 40)])
 @pytest.mark.parametrize("first_open", [True, False])
-def test_point_in_time_against_brute_force(spark, few, first_open):
+def test_point_in_time_against_brute_force(spark, few, busy, first_open):
     rng = random.Random(7)
     day0 = datetime(2020, 1, 1, tzinfo=timezone.utc)
     day = lambda n: day0 + timedelta(days=n)
@@ -178,11 +178,11 @@ def test_point_in_time_against_brute_force(spark, few, first_open):
     events.append((99_999, None, day(10)))
     dim = spark.createDataFrame(versions, "StationKey string, EffStartDate timestamp, EffEndDate timestamp, name string")
     rows = spark.createDataFrame(events, "id int, StationKey string, at timestamp")
-    joined = point_in_time(rows, dim, "at", few_versions=few, first_open=first_open)
+    joined = point_in_time(rows, dim, "at", few_versions=few, first_open=first_open, task_events=busy)
     assert joined.columns == ["id", "StationKey", "at", "EffStartDate", "EffEndDate", "name"]
     got = sorted((r.id, r.name) for r in joined.collect())
     assert got == brute_force(events, versions, first_open)
-    kept = point_in_time(rows, dim, "at", few_versions=few, first_open=first_open, keep_unmatched=True)
+    kept = point_in_time(rows, dim, "at", few_versions=few, first_open=first_open, keep_unmatched=True, task_events=busy)
     assert kept.select("id").distinct().count() == kept.count() == len(events)
     none = point_in_time(rows.limit(0), dim, "at", few_versions=few)
     assert none.count() == 0
@@ -193,3 +193,34 @@ def test_a_late_first_load_still_covers_older_events(spark):
     event = spark.createDataFrame([("a", T1)], "StationKey string, at timestamp")
     assert point_in_time(event, dim, "at").count() == 1
     assert point_in_time(event, dim, "at", first_open=False).count() == 0
+
+
+def test_point_in_time_shuffles_events_once(spark, folder):
+    span = spark.range(4000)
+    dim = span.select(
+        (F.col("id") % 4).cast("string").alias("StationKey"),
+        F.timestamp_seconds(F.col("id") * 100).alias("EffStartDate"),
+        F.timestamp_seconds(F.col("id") * 100 + 400).alias("EffEndDate"),
+        F.col("id").alias("version"),
+    )
+    # one key holds a third of the events, copies of one event another third
+    key = F.when(F.col("id") % 3 == 0, "1").otherwise(F.when(F.col("id") % 3 == 1, "2").otherwise((F.col("id") % 4).cast("string")))
+    at = F.timestamp_seconds(F.when(F.col("id") % 3 == 1, 777).otherwise((F.col("id") * 31) % 400_000))
+    spark.range(30_000).select(key.alias("StationKey"), at.alias("at"), (F.col("id") % 3).alias("kind")).write.parquet(f"{folder}/events")
+    events = spark.read.parquet(f"{folder}/events")
+    found = point_in_time(events, dim, "at", task_events=500)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_pk") == 1 and "Window" in plan
+    on = (F.col("e.StationKey") == F.col("d.StationKey")) & (F.col("at") >= F.col("EffStartDate")) & (F.col("at") < F.col("EffEndDate"))
+    plain = events.alias("e").join(dim.alias("d"), on).select("e.StationKey", "at", "kind", "version")
+    first = events.join(dim.groupBy("StationKey").agg(F.min("EffStartDate").alias("f"), F.min("version").alias("version")), "StationKey")
+    plain = plain.unionByName(first.filter("at < f").select("StationKey", "at", "kind", "version"))
+    assert found.select("StationKey", "at", "kind", "version").exceptAll(plain).isEmpty() and found.count() == plain.count()
+
+
+def test_versions_that_end_at_once_are_passed_over(spark):
+    dim = spark.createDataFrame([("a", T1, T2, "x"), ("a", T2, T2, "gone"), ("a", T2, T3, "y"), ("a", T3, T3, "end")],
+                                "StationKey string, EffStartDate timestamp, EffEndDate timestamp, name string")
+    event = spark.createDataFrame([("a", T1), ("a", T2), ("a", T3)], "StationKey string, at timestamp")
+    rows = {(r.at, r.name) for r in point_in_time(event, dim, "at", few_versions=0, keep_unmatched=True).collect()}
+    assert {name for _, name in rows} == {"x", "y", None}

@@ -1,8 +1,19 @@
 import glob
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.tables import Target, append_load, read_table, read_table_stream
+from tidemark.sources import tables
+from tidemark.sources.tables import (
+    Target,
+    append_load,
+    append_once,
+    publish,
+    read_published,
+    read_table,
+    read_table_stream,
+)
 from tidemark.streaming import read_batches, run_foreach_batch, run_incremental
 from tidemark.streaming.runs import write_batch
 
@@ -76,3 +87,71 @@ def test_fact_folders_let_queries_skip_other_metrics(spark, folder):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(k" in plan
     assert values(df) == [1, 3]
+
+
+def test_a_sink_without_folders_gets_each_row_once(spark, folder):
+    sink = Target(options={"path": f"{folder}/sink"})
+    first = rows(spark, 1, 2, 2)  # equal rows are rows of their own
+
+    def stored():
+        return values(spark.read.parquet(f"{folder}/sink"))
+
+    for _ in range(2):
+        write_batch(first, "q-0", f"{folder}/gold", [sink])
+        assert stored() == [1, 2, 2]
+    # an attempt that put half of the batch there
+    publish(rows(spark, 2, 7).withColumn("batch_id", F.lit("q-1")), sink, mode="append")
+    write_batch(rows(spark, 2, 2, 7, 8), "q-1", f"{folder}/gold", [sink])
+    assert stored() == sorted([1, 2, 2, 2, 2, 7, 8])
+    write_batch(rows(spark, 2), "q-2", f"{folder}/gold", [sink])
+    assert stored() == sorted([1, 2, 2, 2, 2, 7, 8, 2])
+
+
+def test_a_sink_that_cannot_be_read_is_no_empty_one(spark, folder):
+    sink = Target(fmt="no_such_format", options={"path": f"{folder}/sink"})
+    with pytest.raises(Exception, match="no_such_format"):
+        append_once(rows(spark, 1), sink, "q-0", "batch_id")
+
+
+def test_readers_of_versions_always_see_a_whole_table(spark, folder, monkeypatch):
+    target, seen = Target(f"{folder}/dim", versioned=True), []
+    publish(rows(spark, 1, 2), target)
+
+    def looking(function):
+        def run(*args, **options):
+            seen.append(values(read_published(spark, target)))
+            out = function(*args, **options)
+            seen.append(values(read_published(spark, target)))
+            return out
+
+        return run
+
+    for name in ("_write", "drop_folder"):
+        monkeypatch.setattr(tables, name, looking(getattr(tables, name)))
+    for n in range(3, 7):
+        publish(rows(spark, n), target)
+    assert seen and {tuple(s) for s in seen} == {(1, 2), (3,), (4,), (5,), (6,)}
+    assert sorted(os.listdir(target.path)) == ["version=4", "version=5"]
+    assert values(read_published(spark, target, version=4)) == [5]
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, target, version=1)
+
+
+def test_a_reader_keeps_the_version_it_opened(spark, folder):
+    target = Target(f"{folder}/dim", versioned=True)
+    publish(rows(spark, 1), target)
+    opened = read_published(spark, target)
+    publish(rows(spark, 2), target)
+    assert values(opened) == [1] and values(read_published(spark, target)) == [2]
+    # a failed refresh leaves the newest whole version, and its remains go later
+    broken = rows(spark, 3).withColumn("k", F.raise_error("no").cast("string"))
+    with pytest.raises(Exception):
+        publish(broken, target)
+    assert values(read_published(spark, target)) == [2]
+    for v in (4, 5, 6):
+        publish(rows(spark, v), target)
+    assert len(os.listdir(target.path)) == 2 and values(read_published(spark, target)) == [6]
+    with pytest.raises(ValueError):
+        publish(rows(spark, 1), target, mode="append")
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, Target(f"{folder}/none", versioned=True))

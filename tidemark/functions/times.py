@@ -17,6 +17,12 @@ def date_key(moment: str | Column) -> Column:
     return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
 
 
+def month_text(moment: str | Column) -> Column:
+    """``yyyy-MM`` of a moment written as text; null where it is empty."""
+    text = F.col(moment) if isinstance(moment, str) else moment
+    return F.nullif(F.substring(text, 1, 7), F.lit(""))
+
+
 def clock_text(moment: str | Column) -> Column:
     """``HH:mm:ss`` of a moment."""
     return F.date_format(as_timestamp(moment), "HH:mm:ss")

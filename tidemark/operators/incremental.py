@@ -60,6 +60,25 @@ def value_range(df: DataFrame, column: str) -> tuple[Column, Column] | None:
     return None if bounds[0] is None else (wrap(F.lit(bounds[0])), wrap(F.lit(bounds[1])))
 
 
+#: Beyond so many values of a part the range of them is looked through instead.
+MOST_PARTS = 1000
+
+
+def in_parts_of(df: DataFrame, part: Column, stored_part: str) -> Column:
+    """Condition on ``stored_part``: that it is one of the values ``part`` has in ``df``.
+
+    The values are found first, a partial distinct of a narrow column, and stand in the
+    condition as literals, so that a scan of folders by that column skips the others.
+    """
+    rows = df.select(part.alias("p")).distinct().limit(MOST_PARTS + 1).collect()
+    values = [row.p for row in rows if row.p is not None]
+    if len(rows) > MOST_PARTS:
+        range_ = value_range(df.select(part.alias("p")), "p")
+        return F.col(stored_part).between(*range_) | F.col(stored_part).isNull()
+    inside = F.col(stored_part).isin(values) if values else F.lit(False)
+    return inside | F.col(stored_part).isNull() if len(values) < len(rows) else inside
+
+
 def only_new(
     df: DataFrame,
     existing: DataFrame,
@@ -67,14 +86,19 @@ def only_new(
     order: Sequence[Column | str] = (),
     dedup: bool = True,
     prune_on: str | None = None,
+    prune_parts: tuple[Column, str] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not stored yet, nulls counting as equal.
 
     Within the batch one row per key is kept (the first in ``order``) unless
     ``dedup`` is off. Both sides reach the join with distinct keys, so neither
     is skewed. ``prune_on`` names an orderable key column: only stored rows
-    within the batch's range of it are scanned.
+    within the batch's range of it are scanned. ``prune_parts`` is an expression of key
+    columns and the column of ``existing``, a folder level, that holds it: only the folders
+    of the batch's own values are scanned, so one late row adds one folder.
     """
+    if prune_parts is not None:
+        existing = existing.filter(in_parts_of(df, *prune_parts))
     if prune_on is not None:
         column, range_ = F.col(prune_on), value_range(df, prune_on)
         inside = column.between(*range_) if range_ else F.lit(False)

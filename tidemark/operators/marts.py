@@ -12,6 +12,10 @@ from tidemark.operators.scd2 import current_versions
 from tidemark.sources.tables import staged
 
 
+# The metric averaged by the season leaderboard, and the one whose peaks it shows.
+SEASON_METRICS = ("Wind Speed", "Wind Gust")
+
+
 def metric_breakdown(fact: DataFrame) -> DataFrame:
     """Rows per metric, split into number and text values."""
     return fact.groupBy("MetricName").agg(
@@ -44,34 +48,51 @@ def eav_pivot(
     )
 
 
-def season_leaderboard(
-    fact: DataFrame,
-    stations: DataFrame,
-    calendar: DataFrame,
-    average_of: str = "Wind Speed",
-    peak_of: str = "Wind Gust",
-    digits: int = 4,
-    task_rows: int = TASK_ROWS,
+def season_parts(
+    fact: DataFrame, calendar: DataFrame, average_of: str = SEASON_METRICS[0], peak_of: str = SEASON_METRICS[1]
 ) -> DataFrame:
-    """Stations ranked per season by their average (``Rank``) and by their peak (``PeakRank``).
+    """What the season leaderboard needs of some fact rows, per station and season: the sum
+    and the number of one metric's values, the maximum of the other's.
 
-    The fact meets only the calendar before it is aggregated, so what is
-    shuffled is one partial row per station and season, and the station join
-    works on the aggregated rows, which are written once and counted for the ranks.
-    Averages of doubles may differ in their last digits with the order of addition;
-    they are rounded to ``digits`` before they are ranked.
+    Parts of any division of the fact add up to those of the whole: sums are decimals, which
+    do not depend on the order of addition. What no decimal holds (no number, beyond all
+    measures) is summed apart.
     """
-    current = current_versions(stations).select("StationKey", "StationName")
     metric, value = F.col("MetricName"), F.col("ValueNumeric")
-    scores = (
+    averaged = F.when(metric == average_of, value)
+    exact = averaged.try_cast("decimal(28,8)")
+    return (
         fact.filter(metric.isin(average_of, peak_of))
         .select("StationKey", "DateKey", "MetricName", "ValueNumeric")
         .join(calendar.select("DateKey", "Season"), "DateKey")
         .groupBy("StationKey", "Season")
         .agg(
-            F.round(F.avg(F.when(metric == average_of, value)), digits).alias("AverageValue"),
+            F.sum(exact).alias("ValueSum"),
+            F.sum(F.when(exact.isNull(), averaged)).alias("OtherSum"),
+            F.count(averaged).alias("ValueCount"),
             F.max(F.when(metric == peak_of, value)).alias("PeakValue"),
         )
+    )
+
+
+def season_leaderboard_of(
+    parts: DataFrame, stations: DataFrame, digits: int = 4, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Stations ranked per season by their average (``Rank``) and by their peak (``PeakRank``),
+    from parts, any number per station and season.
+
+    Averages are rounded to ``digits`` before they are ranked. The folded rows are written
+    once and counted for the ranks.
+    """
+    current = current_versions(stations).select("StationKey", "StationName")
+    whole = F.coalesce(F.sum("ValueSum").cast("double"), F.lit(0.0)) + F.coalesce(F.sum("OtherSum"), F.lit(0.0))
+    average = whole / F.sum("ValueCount")
+    scores = (
+        parts.groupBy("StationKey", "Season")
+        .agg(
+            F.round(F.when(F.sum("ValueCount") > 0, average), digits).alias("AverageValue"),
+            F.max("PeakValue").alias("PeakValue"),
+        )
         .join(current, "StationKey")
         .select("Season", "StationKey", "StationName", "AverageValue", "PeakValue")
     )
@@ -81,6 +102,25 @@ def season_leaderboard(
     return rank_desc(ranked, "Season", "PeakValue", most, "PeakRank", task_rows)
 
 
+def season_leaderboard(
+    fact: DataFrame,
+    stations: DataFrame,
+    calendar: DataFrame,
+    average_of: str = SEASON_METRICS[0],
+    peak_of: str = SEASON_METRICS[1],
+    digits: int = 4,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Stations ranked per season by their average (``Rank``) and by their peak (``PeakRank``).
+
+    The fact meets only the calendar before it is aggregated, so what is
+    shuffled is one partial row per station and season, and the station join
+    works on the aggregated rows, which are written once and counted for the ranks.
+    """
+    parts = season_parts(fact, calendar, average_of, peak_of)
+    return season_leaderboard_of(parts, stations, digits, task_rows)
+
+
 def missing_keys(
     fact: DataFrame, dimension: DataFrame, key: str, rows: Column | None = None
 ) -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.bronze import moment
-from tidemark.operators.incremental import key_struct, latest_per_key, value_range
+from tidemark.operators.incremental import key_struct, latest_per_key
 from tidemark.schemas import DIM_STATION
 from tidemark.sources.files import path_exists, subfolders
 from tidemark.sources.tables import staged
@@ -137,6 +137,7 @@ def read_dimension(
     path: str,
     schema: T.StructType = DIM_STATION,
     snapshot: int | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """The dimension as of its newest (or the given) snapshot.
 
@@ -150,8 +151,9 @@ def read_dimension(
     stored = T.StructType([*schema.fields, T.StructField(SNAPSHOT, T.IntegerType())])
     number, current = F.col(SNAPSHOT), F.col("IsCurrent")
     return (
-        spark.read.schema(stored)
-        .parquet(path)
+        spark.read.format(fmt)
+        .schema(stored)
+        .load(path)
         .filter(((number == last) & current) | ((number <= last) & ~current))
         .select(*schema.fieldNames())
     )
@@ -165,6 +167,7 @@ def store_dimension(
     key: str = "StationKey",
     schema: T.StructType = DIM_STATION,
     close_missing: bool = False,
+    fmt: str = "parquet",
 ) -> bool:
     """Bring the stored dimension up to date and say whether anything changed.
 
@@ -176,7 +179,7 @@ def store_dimension(
     if last is None:
         rows, number = updates, 1
     else:
-        stored = read_dimension(spark, path, schema)
+        stored = read_dimension(spark, path, schema, last, fmt)
         updates = staged(updates, "dimension-updates")
         gone = (
             current_versions(stored).join(updates, key, "left_anti") if close_missing else None
@@ -186,8 +189,8 @@ def store_dimension(
         rows, number = scd2_advance(stored, updates, as_of, key, close_missing), last + 1
     out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     # static: a session may overwrite only the folders it writes, leaving a failed run's others
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("IsCurrent").parquet(f"{path}/{SNAPSHOT}={number}")
+    writer = out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("IsCurrent").save(f"{path}/{SNAPSHOT}={number}")
     return True
 
 
@@ -195,6 +198,8 @@ def store_dimension(
 
 # Up to this many versions per key a row simply tries all versions of its key.
 FEW_VERSIONS = 32
+# Events of one key that one task carries versions along.
+TASK_EVENTS = 1_000_000
 
 
 def point_in_time(
@@ -206,23 +211,23 @@ def point_in_time(
     keep_unmatched: bool = False,
     first_open: bool = True,
     few_versions: int = FEW_VERSIONS,
+    task_events: int = TASK_EVENTS,
 ) -> DataFrame:
-    """Join each event with the version valid at its moment.
+    """Join each event with the version valid at its moment; versions of a key don't overlap.
 
     Valid means start <= moment < end, without limit where the end is null and,
     with ``first_open``, before the start of a key's first version.
 
-    Keys with few versions are joined on the key, the range being a further
-    condition. Keys with up to ``few_versions`` squared also join on a time
-    bucket, that many over the whole span of the events; keys with more on
-    correspondingly finer ones. So a row meets few versions however many its key
-    has, and as a version is repeated once per bucket it lasts, the versions of
-    each group of keys at most double: size checks made before still hold.
+    While every key has few versions they are joined on the key, the range being a further
+    condition, so a small dimension is broadcast by Spark's own size check. Otherwise events
+    and versions lie in one sorted pass per key, in which each event takes the last version
+    begun: events are shuffled once, however many versions there are. Keys with more
+    than ``task_events`` events are dealt out to several such passes, each with all of the
+    key's versions; a key with no more versions than ``task_events`` so has no more copies of
+    them than it has events. Passes follow row positions: pass a table scan with narrow steps,
+    or stage events that a shuffle made, so that a lost task is recomputed in the same order.
     """
-    few = max(few_versions, 2)
-    at = F.col(moment_column).cast("timestamp")
     dimension = staged(dimension, "versions")
-    rows = events.withColumns({"_pk": F.col(event_key), "_at": at})
     per_key = dimension.groupBy(F.col(key).alias("_pk")).agg(
         F.min("EffStartDate").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
@@ -234,51 +239,69 @@ def point_in_time(
             F.col("_pk").alias("_vk"),
             (F.when(start > F.col("_first"), start) if first_open else start).alias("_low"),
             F.col("EffEndDate").alias("_high"),
-            F.col("_n"),
             F.struct(*dimension.columns).alias("_version"),
         )
     )
+    rows = events.withColumns({"_pk": F.col(event_key), "_at": F.col(moment_column).cast("timestamp")})
     most = per_key.agg(F.max("_n")).first()[0] or 0
-    span = value_range(rows, "_at") if most > few else None
-
-    valid = (F.col("_low").isNull() | (F.col("_at") >= F.col("_low"))) & (
-        F.col("_high").isNull() | (F.col("_at") < F.col("_high"))
-    )
-    same_key = F.col("_pk") == F.col("_vk")
-    found = []
-    buckets = 1
-    while True:
-        part, on, name = versions, same_key & valid, f"_version_{buckets}"
-        if span:
-            part = part.filter((F.col("_n") > (buckets if buckets > 1 else 0)) & (F.col("_n") <= buckets * few))
-        if buckets > 1:
-            part = _in_buckets(part, span, buckets)
-            on = (_bucket(F.col("_at"), span, buckets) == F.col("_bucket")) & on
-        last = not span or buckets * few >= most
-        how = "inner" if last and not found and not keep_unmatched else "left"
-        part = part.withColumnRenamed("_version", name).drop("_n")
-        rows = rows.join(part, on, how).drop("_vk", "_low", "_high", "_bucket")
-        found.append(F.col(name))
-        if last:
-            break
-        buckets *= few
-    rows = rows.withColumn("_version", F.coalesce(*found))
-    if not keep_unmatched:
-        rows = rows.filter(F.col("_version").isNotNull())
+    if most <= few_versions:
+        begun = F.col("_low").isNull() | (F.col("_at") >= F.col("_low"))
+        open_ = F.col("_high").isNull() | (F.col("_at") < F.col("_high"))
+        how = "left" if keep_unmatched else "inner"
+        rows = rows.join(versions, (F.col("_pk") == F.col("_vk")) & begun & open_, how)
+    else:
+        rows = _carried(rows, versions, events.columns, task_events)
+        if not keep_unmatched:
+            rows = rows.filter(F.col("_version").isNotNull())
     attributes = [c for c in dimension.columns if c not in events.columns]
     return rows.select(*events.columns, *[F.col(f"_version.{c}").alias(c) for c in attributes])
 
 
-def _bucket(at: Column, span: tuple[Column, Column], buckets: int) -> Column:
-    """Number of the equal part of ``span`` that ``at`` falls in."""
-    low, high = (F.unix_micros(c) for c in span)
-    return F.floor((F.unix_micros(at) - low) / F.ceil((high - low + 1) / buckets))
-
+def _carried(
+    rows: DataFrame, versions: DataFrame, columns: Sequence[str], task_events: int
+) -> DataFrame:
+    """Each event with the last version begun at its moment, if that has not ended.
 
-def _in_buckets(versions: DataFrame, span: tuple[Column, Column], buckets: int) -> DataFrame:
-    """Versions alive within ``span``, once for each bucket of it they touch."""
-    low, high = span
-    born = F.greatest(F.coalesce("_low", low), low)
-    died = F.least(F.coalesce("_high", high), high)
-    touched = F.sequence(_bucket(born, span, buckets), _bucket(died, span, buckets))
-    return versions.filter(born <= died).withColumn("_bucket", F.explode(touched))
+    Events and versions are put together and sorted per key: a version stands before the
+    events of its first moment, one that ends at once before one that lasts.
+    """
+    busy = staged(
+        rows.groupBy("_pk")
+        .agg(F.count(F.lit(1)).alias("_events"))
+        .filter((F.col("_events") > task_events) & F.col("_pk").isNotNull())
+        .select("_pk", F.ceil(F.col("_events") / task_events).cast("int").alias("_passes")),
+        "busy-keys",
+    )
+    passes = F.coalesce("_passes", F.lit(1))
+    # which pass an event is in changes nothing but the balance; copies of an event part too
+    turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+    event = F.struct(*[F.col(c) for c in columns])
+    events = rows.select("_pk", "_at", event.alias("_event"), turn.alias("_turn"))
+    if busy.isEmpty():
+        events = events.withColumn("_pass", F.lit(0))
+        copies = versions.withColumnRenamed("_vk", "_pk").withColumn("_pass", F.lit(0))
+    else:
+        events = events.join(busy, "_pk", "left").withColumn("_pass", (F.col("_turn") % passes).cast("int"))
+        copies = (
+            versions.withColumnRenamed("_vk", "_pk")
+            .join(busy, "_pk", "left")
+            .withColumn("_pass", F.explode(F.sequence(F.lit(0), passes - 1)))
+        )
+    both = events.select("_pk", "_pass", "_at", "_event").unionByName(
+        copies.select("_pk", "_pass", F.col("_low").alias("_at"), "_version", "_high"), allowMissingColumns=True
+    )
+    order = (
+        F.col("_at").asc_nulls_first(),
+        F.col("_version").isNull().asc(),
+        F.col("_high").asc_nulls_last(),
+    )
+    so_far = (
+        Window.partitionBy("_pk", "_pass").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    begun = F.last(F.when(F.col("_version").isNotNull(), F.struct("_version", "_high")), ignorenulls=True)
+    valid = F.col("_begun._high").isNull() | (F.col("_at") < F.col("_begun._high"))
+    return (
+        both.withColumn("_begun", begun.over(so_far))
+        .filter(F.col("_event").isNotNull())
+        .select("_event.*", F.when(F.col("_pk").isNotNull() & valid, F.col("_begun._version")).alias("_version"))
+    )

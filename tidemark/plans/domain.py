@@ -110,8 +110,8 @@ def silver_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver after a second feed: suppliers in debt moved, customers are new
+def silver_stations_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows of a second feed: suppliers in debt moved, customers are new
     stations, and the suppliers of region 2 were not delivered again."""
     moved = F.when(F.col("latitude") < 0, F.concat("area", F.lit(" (moved)"))).otherwise(
         F.col("area")
@@ -130,10 +130,12 @@ def silver_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("NEW").alias("country"),
         F.lit("Etc/UTC").alias("olson_time_zone"),
     )
-    second = conform(
-        again.unionByName(fresh), STATION_FIELDS, STATION_HASH, SOURCE, as_of=DAY_2
-    )
-    return silver_stations(spark, sf_dir).unionByName(second)
+    return conform(again.unionByName(fresh), STATION_FIELDS, STATION_HASH, SOURCE, as_of=DAY_2)
+
+
+def silver_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after both feeds."""
+    return silver_stations(spark, sf_dir).unionByName(silver_stations_again(spark, sf_dir))
 
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,6 +169,34 @@ ORACLE: dict[str, str] = {
     "landed_batches_all": """
 SELECT DISTINCT 'S' || l_suppkey AS station_geohash, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS datetime
 FROM lineitem""",
+    "landed_again": f"""
+WITH readings AS ({_READINGS}),
+batches AS (
+  SELECT *, CASE wind_direction WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS landed FROM readings)
+SELECT station_geohash, datetime, wind_direction FROM batches
+QUALIFY row_number() OVER (PARTITION BY station_geohash, datetime ORDER BY landed) = 1""",
+    "bronze_stream": f"""
+WITH readings AS ({_READINGS}),
+batches AS (
+  SELECT *, third, '2024010' || (third + 1) || '_000000+0000' AS extracted_at
+  FROM readings, (VALUES (0), (1), (2)) AS t(third)
+  WHERE CAST(substr(datetime, 6, 2) AS INTEGER) % 3 IN (third, greatest(third - 1, 0))),
+hashed AS (
+  SELECT *, sha256(concat_ws('||', station_geohash, extracted_at, datetime, visibility, temperature, mslp,
+    wind_gust, wind_direction, wind_speed, humidity, weather_code, pressure_tendency)) AS _row_hash
+  FROM batches)
+SELECT station_geohash, datetime, extracted_at, visibility, wind_speed, 'run-' || third AS _extraction_id, _row_hash
+FROM hashed
+QUALIFY row_number() OVER (PARTITION BY station_geohash, datetime ORDER BY third, _row_hash) = 1""",
+    "bronze_late_month": """
+SELECT strftime(l_shipdate, '%Y-%m') AS load_month, count(DISTINCT (l_suppkey, l_shipdate)) AS readings,
+       count(DISTINCT l_suppkey) AS stations
+FROM lineitem GROUP BY ALL""",
+    "dim_station_incremental": f"{_STATIONS} SELECT * FROM next_dim",
+    "late_station": """
+SELECT DISTINCT 'S' || l_suppkey AS station_geohash, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS datetime,
+       CASE n_regionkey WHEN 2 THEN 'day-2' WHEN 3 THEN 'parked' ELSE 'day-1' END AS run
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
     "station_ingest": """
 SELECT s_name AS station_name, 'N' || s_nationkey AS station_geohash, n_name AS county_name,
        upper('r' || n_regionkey) AS region_code, CAST(s_nationkey || '.001' AS DOUBLE) AS latitude
@@ -319,6 +347,13 @@ SELECT f.*, TIMESTAMP '{_DAY_1}' AS "ProcessedAt", {_HASH} AS "RowHash",
        'orders_feed' AS "SourceSystem", sink AS "Sink"
 FROM f, (VALUES ('gold'), ('copy'), ('replayed')) AS s(sink)""",
     "publish_refresh": _SHIP_CALENDAR,
+    "publish_versions": _SHIP_CALENDAR,
+    "season_leaderboard_folded": _LEADERBOARD,
+    "connector_append_once": f"""
+WITH f AS ({_EVENT_FACT})
+SELECT f.*, TIMESTAMP '{_DAY_1}' AS "ProcessedAt", {_HASH} AS "RowHash", 'orders_feed' AS "SourceSystem",
+       CASE WHEN "DateKey" >= 20240120 THEN 'q-1' ELSE 'q-0' END AS batch_id
+FROM f""",
     "layered_full_run": f"""
 WITH readings AS ({_READINGS}),
 kept AS (

@@ -36,9 +36,19 @@ from tidemark.operators.scd2 import (
 )
 from tidemark.plans import domain
 from tidemark.plans.domain import DAY_1, DAY_2, ISO, SOURCE, table
-from tidemark.plans.full_run import Lake, Run, bronze_observations, run_layers
+from tidemark.plans.full_run import (
+    Lake,
+    Run,
+    bronze_observations,
+    build_dim_station,
+    build_season_parts,
+    parked_readings,
+    run_layers,
+    stream_observations,
+)
 from tidemark.schemas import WEATHER_METRICS, Metric
 from tidemark.session import pin_utc, scratch_dir
+from tidemark.sources.files import drop_folder
 from tidemark.sources.landed import (
     batch_id,
     latest_batch,
@@ -48,7 +58,16 @@ from tidemark.sources.landed import (
     write_landed,
 )
 from tidemark.sources.seed import enrich_override, monitored, read_seed, with_coordinates
-from tidemark.sources.tables import Target, append_load, publish, read_table, read_table_stream
+from tidemark.sources.tables import (
+    MONTH,
+    Target,
+    append_load,
+    publish,
+    read_months,
+    read_published,
+    read_table,
+    read_table_stream,
+)
 from tidemark.streaming import read_batches, run_foreach_batch, run_incremental
 from tidemark.streaming.runs import write_batch
 
@@ -388,6 +407,20 @@ def scd2_idempotent(spark, sf_dir):
     return read_dimension(spark, path)
 
 
+@_query
+def dim_station_incremental(spark, sf_dir):
+    """The dimension from silver files that came since its last run, each read once."""
+    lake = Lake(scratch_dir(spark, "incremental"))
+    feeds = (domain.silver_stations, domain.silver_stations_again)
+    for n, (feed, day) in enumerate(zip(feeds, (DAY_1, DAY_2), strict=True)):
+        append_load(feed(spark, sf_dir), lake.silver_stations, f"feed-{n}")
+        build_dim_station(spark, lake, Run(f"run-{n}", day, SOURCE))
+    # a run without new silver rows changes nothing
+    if build_dim_station(spark, lake, Run("run-2", DAY_2 + timedelta(days=1), SOURCE)):
+        raise AssertionError("nothing new must not change the dimension")
+    return read_dimension(spark, lake.gold_dim_station)
+
+
 @_query
 def scd2_current(spark, sf_dir):
     return current_versions(
@@ -498,6 +531,52 @@ def publish_refresh(spark, sf_dir):
     return spark.read.parquet(target.path)
 
 
+@_query
+def publish_versions(spark, sf_dir):
+    """A table refreshed as versions, read while a third refresh is under way."""
+    target = Target(f"{scratch_dir(spark, 'versions')}/dim_date", versioned=True)
+    for day, name in (("o_orderdate", "orders"), ("l_shipdate", "lineitem")):
+        publish(calendar_covering(table(spark, sf_dir, name), day), target)
+    # a writer that was lost before its version was whole
+    unfinished = table(spark, sf_dir, "nation")
+    unfinished.write.parquet(f"{target.path}/version=3")
+    drop_folder(spark, f"{target.path}/version=3/_SUCCESS")
+    return read_published(spark, target)
+
+
+@_query
+def connector_append_once(spark, sf_dir):
+    """A sink without folders gets two batches: the first twice, the second after a torn attempt."""
+    root = scratch_dir(spark, "connector")
+    sink = Target(options={"path": f"{root}/sink"})
+    events = table(spark, sf_dir, "events")
+    metrics = [Metric("Value", "value", "n"), Metric("Type", "event_type", "text")]
+    late = F.col("ts") >= "2024-01-20"
+    early, rest = (
+        to_fact(rows, metrics, SOURCE, station="user_id", observed="ts", as_of=DAY_1)
+        for rows in (events.filter(~late), events.filter(late))
+    )
+    for _ in range(2):
+        write_batch(early, "q-0", f"{root}/fact", [sink])
+    publish(rest.filter("ValueNumeric IS NULL").withColumn("batch_id", F.lit("q-1")), sink, mode="append")
+    write_batch(rest, "q-1", f"{root}/fact", [sink])
+    return spark.read.parquet(sink.options["path"])
+
+
+@_query
+def season_leaderboard_folded(spark, sf_dir):
+    """The leaderboard from partial sums of three fact batches, each read once."""
+    lake = Lake(scratch_dir(spark, "parts"))
+    publish(calendar_covering(table(spark, sf_dir, "lineitem"), "l_shipdate"), Target(lake.gold_dim_date))
+    winds = domain.fact(spark, sf_dir, "Wind Speed", "Wind Gust", "Wind Direction")
+    for third in range(3):
+        part = winds.filter(F.floor(F.col("DateKey") / 100) % 3 == third)
+        write_batch(part, f"batch-{third}", lake.gold_fact, partition_by=["MetricName"])
+        build_season_parts(spark, lake, Run(f"run-{third}", DAY_1, SOURCE))
+    parts = read_table(spark, lake.gold_season_parts).drop("batch_id")
+    return marts.season_leaderboard_of(parts, domain.dimension(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- full run
 
 
@@ -516,6 +595,82 @@ def landed_batches_all(spark, sf_dir):
     return stored.select("station_geohash", "datetime")
 
 
+@_query
+def landed_again(spark, sf_dir):
+    """One folder landed twice and then grown by a file, with a bronze run after each."""
+    lake, batch = Lake(scratch_dir(spark, "again")), batch_id(DAY_1)
+    lines = table(spark, sf_dir, "lineitem")
+    for n, flags in enumerate((["A"], ["A", "N"])):
+        part = domain.readings(lines.filter(F.col("l_returnflag").isin(flags)))
+        write_landed(to_envelopes(part, "station_geohash", batch), lake.landed_observations, batch)
+        bronze_observations(spark, lake, Run(f"run-{n}", DAY_2, SOURCE))
+    rest = domain.readings(lines.filter(~F.col("l_returnflag").isin("A", "N")))
+    folder = f"{lake.landed_observations}/{batch}"
+    to_envelopes(rest, "station_geohash", batch).write.mode("append").json(folder)
+    bronze_observations(spark, lake, Run("run-2", DAY_2, SOURCE))
+    stored = read_table(spark, lake.bronze_observations, schemas.BRONZE_OBSERVATION)
+    return stored.select("station_geohash", "datetime", "wind_direction")
+
+
+@_query
+def bronze_stream(spark, sf_dir):
+    """Bronze fed by a stream that is started again after each landed batch."""
+    lake = Lake(scratch_dir(spark, "streamed"))
+    lines = table(spark, sf_dir, "lineitem")
+    for third in range(3):
+        day = DAY_1 + timedelta(days=third)
+        # every batch repeats the readings of the third before
+        months = F.month("l_shipdate") % 3
+        part = domain.readings(lines.filter(months.isin([third, max(third - 1, 0)])))
+        nested = to_envelopes(part, "station_geohash", batch_id(day))
+        write_landed(nested, lake.landed_observations, batch_id(day))
+        stream_observations(spark, lake, Run(f"run-{third}", day, SOURCE))
+    stored = read_table(spark, lake.bronze_observations, schemas.BRONZE_OBSERVATION)
+    return stored.select(
+        "station_geohash", "datetime", "extracted_at", "visibility", "wind_speed", "_extraction_id", "_row_hash"
+    )
+
+
+@_query
+def bronze_late_month(spark, sf_dir):
+    """Bronze by month: a second batch of one month, and one reading of the first month."""
+    lake = Lake(scratch_dir(spark, "months"))
+    lines = table(spark, sf_dir, "lineitem")
+    last = F.date_trunc("month", F.lit(lines.agg(F.max("l_shipdate")).first()[0]))
+    first = lines.agg(F.min(F.struct("l_shipdate", "l_orderkey", "l_linenumber")).alias("m")).first().m
+    late = (F.col("l_orderkey") == first.l_orderkey) & (F.col("l_linenumber") == first.l_linenumber)
+    for n, rows in enumerate((lines.filter((F.col("l_shipdate") < last) & ~late), lines.filter((F.col("l_shipdate") >= last) | late))):
+        day = DAY_1 + timedelta(days=n)
+        nested = to_envelopes(domain.readings(rows), "station_geohash", batch_id(day))
+        write_landed(nested, lake.landed_observations, batch_id(day))
+        bronze_observations(spark, lake, Run(f"run-{n}", day, SOURCE))
+    stored = read_months(spark, lake.bronze_observations, schemas.BRONZE_OBSERVATION)
+    return stored.groupBy(MONTH).agg(
+        F.count(F.lit(1)).alias("readings"), F.countDistinct("station_geohash").alias("stations")
+    )
+
+
+@_query
+def late_station(spark, sf_dir):
+    """Suppliers of region 2 become known a day after their readings, those of region 3 never."""
+    lake = Lake(scratch_dir(spark, "late"))
+    stations = domain.station_records(spark, sf_dir).filter(F.col("country_code") != "R3")
+    readings = domain.readings(table(spark, sf_dir, "lineitem"))
+    first = stations.filter(F.col("country_code") != "R2")
+    for day, run_id, feed, rows in (
+        (DAY_1, "day-1", first, readings),
+        (DAY_2, "day-2", stations, readings.limit(0)),
+    ):
+        run = Run(run_id, day, SOURCE)
+        run_layers(spark, lake, run, "metadata_only", ["landed", "bronze", "silver"], stations=feed)
+        run_layers(spark, lake, run, "observations", ["landed", "bronze"], readings=rows)
+    stored = read_table(spark, lake.bronze_observations, schemas.BRONZE_OBSERVATION)
+    parked = parked_readings(spark, lake, readings.schema)
+    return stored.select("station_geohash", "datetime", F.col("_extraction_id").alias("run")).unionByName(
+        parked.select("station_geohash", "datetime", F.lit("parked").alias("run"))
+    )
+
+
 @_query
 def station_ingest(spark, sf_dir):
     """From a seed list and a metadata table to silver stations."""

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.sources.tables import Target, publish, replace_folder
+from tidemark.sources.tables import Target, append_once, publish, replace_folder
 
 BATCH = "batch_id"
 
@@ -46,7 +46,8 @@ def write_batch(
 ) -> None:
     """Write one micro-batch to its own folder and from there to every copy.
 
-    Writing the same batch again replaces it everywhere. The copies read the
+    Writing the same batch again replaces it everywhere; a copy without folders gets its
+    name in a column and only the rows it lacks. The copies read the
     written folder, so the batch is computed once and all sinks hold the same
     rows without caching a batch that may be large. A batch is seen when it is whole:
     it is written to a hidden folder that then takes its place.
@@ -62,42 +63,54 @@ def write_batch(
     for copy in copies:
         stored = spark.read.format(fmt).schema(batch.schema).load(folder)
         if copy.path is None:
-            # a connector without folders: replays are its own concern
-            publish(stored, copy, mode="append")
+            append_once(stored, copy, batch_id, BATCH)  # a connector without folders
         else:
             part = copy._replace(path=f"{copy.path}/{BATCH}={batch_id}")
             publish(stored, part, mode="overwrite")
 
 
-def run_foreach_batch(
-    source: DataFrame,
-    transform: Transform,
-    path: str,
-    checkpoint: str | None = None,
-    copies: Sequence[Target] = (),
-    partition_by: Sequence[str] = (),
-    fmt: str = "parquet",
-) -> None:
-    """Write ``transform`` of all new rows of ``source`` batch by batch to several sinks.
+def run_each(
+    source: DataFrame, handle: Callable[[DataFrame, str], object], checkpoint: str
+) -> int:
+    """Hand all new rows of a streaming ``source`` to ``handle``, batch by batch, with the
+    batch's name; the number of rows read.
 
-    Batch folders carry the query's id, which lives in the checkpoint: a new
-    checkpoint counts from zero again and must not replace older batches.
+    A batch that was handed over but not noted as done comes again with the same name and
+    rows. Names carry the query's id, which lives in the checkpoint: a new checkpoint counts
+    from zero again and must not repeat older names.
     """
 
-    def write(batch: DataFrame, epoch: int) -> None:
+    def each(batch: DataFrame, epoch: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not query_id:
             raise RuntimeError("the stream does not say its query id, which names its batches")
-        write_batch(batch, f"{query_id}-{epoch}", path, copies, partition_by, fmt)
+        handle(batch, f"{query_id}-{epoch}")
 
     query = (
-        transform(source)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint or f"{path}/_checkpoints")
+        source.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
+
+
+def run_foreach_batch(
+    source: DataFrame,
+    transform: Transform,
+    path: str,
+    checkpoint: str | None = None,
+    copies: Sequence[Target] = (),
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+) -> None:
+    """Write ``transform`` of all new rows of ``source`` batch by batch to several sinks."""
+    run_each(
+        transform(source),
+        lambda batch, name: write_batch(batch, name, path, copies, partition_by, fmt),
+        checkpoint or f"{path}/_checkpoints",
+    )
 
 
 def read_batches(
