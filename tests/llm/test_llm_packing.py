@@ -126,3 +126,12 @@ def test_full_memory_starts_over(library, monkeypatch):
     for text in ["one two three four five", "six, seven. eight <|endoftext|>", "one six nine " + "ten" * 400, "J̌ İ Σς"] * 3:
         assert own.encode([text])[0] == array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
         assert own.held <= 1000 or len(own.chunks) < 10
+
+
+def test_merges_of_many_words_at_once():
+    own = balanced_packing.Encoder(tokenizer_file())
+    rng = random.Random(9)
+    words = ["".join(rng.choices("aaabeinrstßé中’-0", k=rng.randint(1, 14))) for _ in range(3000)]
+    words += ["a" * n for n in range(1, 40)] + ["ab" * 4000, "xyz" * 900, "é" * 700]
+    plain = own.vocab.encode(words := list(dict.fromkeys(words)))
+    assert own.merges.encode(words) == [array("I", ids).tobytes() for ids in plain]

@@ -88,10 +88,12 @@ def test_runs_of_a_full_trie(texts, monkeypatch):
         batches += counting.runs(everything=True)
         count += len(batches)
         for batch in batches:
-            part = batch.to_pylist()
-            assert [r["phrase"].encode() for r in part] == sorted(r["phrase"].encode() for r in part)
-            for r in part:
-                counted[r["lang"], r["phrase"]] += r["n"]
+            part = [(r["lang"], " ".join(filter(None, (r["prefix"], r["rest"]))), r["n"]) for r in batch.to_pylist()]
+            assert all(r["prefix"].count(" ") <= 1 for r in batch.to_pylist())
+            words = [phrase.encode().split(b" ") for _, phrase, _ in part]
+            assert words == sorted(words)
+            for lang, phrase, n in part:
+                counted[lang, phrase] += n
     plain = Counter()
     for lang, text in texts:
         for words in pieces(text):
@@ -106,11 +108,23 @@ def test_containers_burst(monkeypatch):
     monkeypatch.setattr(phrase_trie, "OWN", 10)
     rng = random.Random(1)
     trie, plain = phrase_trie.Container(), Counter()
-    for _ in range(5000):
-        ids = tuple(rng.choice([2, 3, rng.randint(2, 60)]) for _ in range(rng.randint(1, 4)))
-        trie.add(sum(w << 32 * i for i, w in enumerate(ids)), 1)
-        plain[ids] += 1
-    assert Counter(dict(trie.items())) == plain and len(trie) == len(plain)
+    for _ in range(500):
+        some = [tuple(rng.choice([2, 3, rng.randint(2, 60)]) for _ in range(rng.randint(1, 4))) for _ in range(10)]
+        phrases = [sum(w << 32 * i for i, w in enumerate(ids)) for ids in some]
+        if rng.random() < 0.5:
+            trie.add_all(phrases, [1] * 10)
+        else:
+            for phrase in phrases:
+                trie.add(phrase, 1)
+        plain.update(some)
+    found = Counter()
+    for before, counts in trie.hashes():
+        for phrase, n in counts.items():
+            ids = before
+            while phrase:
+                ids, phrase = (*ids, phrase & 0xFFFFFFFF), phrase >> 32
+            found[ids] += n
+    assert found == plain and len(trie) == len(plain)
     assert trie.children and any(c.children for c in trie.children.values())
 
 

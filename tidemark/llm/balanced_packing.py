@@ -16,7 +16,7 @@ import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,8 @@ from tidemark.llm.trie_bpe import Vocabulary
 from tidemark.sources.tables import staged
 
 CAPACITY = 4096
-#: Windows of a block: with ids of four bytes, 8 MB.
-BLOCK_WINDOWS = 512
+#: Windows of a block: with ids of four bytes, 4 MB.
+BLOCK_WINDOWS = 256
 #: Share of a block's windows that may be added before excess is cut off instead.
 SPARE = 1 / 256
 #: Items below so many ids are bundled before they are dealt out.
@@ -44,27 +44,109 @@ KEPT_BYTES = 160 << 20
 _ENTRY_BYTES = 220
 
 
+class Merges:
+    """A vocabulary's merges over many words at once: in each round every word merges the pair
+    that comes first in the list, wherever it stands in the word."""
+
+    _BITS = 22
+
+    def __init__(self, vocab: Vocabulary):
+        self.inner, self.final = (
+            np.array([known[letter] for letter in vocab.letters], dtype=np.int64) for known in (vocab.inner, vocab.final)
+        )
+        whole = {n: i for i, n in enumerate(vocab.made) if n >= 0}
+        self.none = len(vocab.rank)
+        self.whole = np.array([whole.get(n, 0) for n in range(self.none + 1)], dtype=np.int64)
+        pairs = np.fromiter(vocab.rank.keys(), np.int64, self.none)
+        ranks = np.fromiter(vocab.rank.values(), np.int64, self.none)
+        # each pair has its own slot in one of a few tables
+        self.tables: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
+        odd = 0x9E3779B97F4A7C15
+        while len(pairs):
+            times = np.uint64(odd)
+            slots = self._slots(pairs, times)
+            _, first = np.unique(slots, return_index=True)
+            kept = np.full(1 << self._BITS, -1, dtype=np.int64)
+            rank = np.full(1 << self._BITS, self.none, dtype=np.int32)
+            kept[slots[first]], rank[slots[first]] = pairs[first], ranks[first]
+            self.tables.append((times, kept, rank))
+            pairs, ranks = np.delete(pairs, first), np.delete(ranks, first)
+            odd = odd * 0xD6E8FEB86659FD93 % (1 << 64) | 1
+
+    def _slots(self, pairs: np.ndarray, times: np.uint64) -> np.ndarray:
+        return ((pairs.view(np.uint64) * times) >> np.uint64(64 - self._BITS)).view(np.int64)
+
+    def _ranks(self, pairs: np.ndarray) -> np.ndarray:
+        found = np.full(len(pairs), self.none, dtype=np.int32)
+        for times, kept, rank in self.tables:
+            slots = self._slots(pairs, times)
+            hit = kept[slots] == pairs
+            found[hit] = rank[slots[hit]]
+        return found
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as little-endian unsigned 32-bit integers."""
+        spelled = [w.encode() for w in words]
+        lengths = np.fromiter(map(len, spelled), np.int64, len(words))
+        letters = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+        ids = self.inner[letters]
+        ends = np.cumsum(lengths)
+        ids[ends - 1] = self.final[letters[ends - 1]]
+        owner = np.repeat(np.arange(len(words)), lengths)
+        done_ids, done_owner = [], []
+        while len(ids):
+            inside = owner[:-1] == owner[1:]
+            ranks = np.full(len(ids), self.none, dtype=np.int32)
+            ranks[:-1][inside] = self._ranks(ids[:-1][inside] << 32 | ids[1:][inside])
+            starts = np.flatnonzero(np.concatenate(([True], ~inside)))
+            least = np.minimum.reduceat(ranks, starts)
+            sizes = np.diff(np.append(starts, len(ids)))
+            least_here = np.repeat(least, sizes)
+            over = least_here == self.none
+            done_ids.append(ids[over])
+            done_owner.append(owner[over])
+            first = (ranks == least_here) & ~over
+            # of equal letters in a row every other one begins a pair
+            at = np.flatnonzero(first)
+            run = np.arange(len(at))
+            fresh = np.concatenate(([True], np.diff(at) > 1)) if len(at) else np.zeros(0, bool)
+            at = at[(run - np.maximum.accumulate(np.where(fresh, run, 0))) % 2 == 0]
+            ids[at] = self.whole[ranks[at]]
+            left = ~over
+            left[at + 1] = False
+            ids, owner = ids[left], owner[left]
+        ids, owner = np.concatenate(done_ids), np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        flat = ids[order].astype("<u4").tobytes()
+        cuts = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+        return [flat[begin:end] for begin, end in zip([0, *cuts], cuts, strict=False)]
+
+
 class Encoder:
     """Ids of texts as bytes, by the distinct chunks and words of each slice; what it keeps of
     them from slice to slice is bounded by size."""
 
     def __init__(self, tokenizer: str):
         self.vocab = Vocabulary(tokenizer)
+        self.merges = Merges(self.vocab)
         self.special = {i: array("I", [i]).tobytes() for i in self.vocab.special.values()}
         self.chunks: dict[str | int, bytes] = dict(self.special)
         self.words: dict[str, bytes] = {}
         self.held = 0
 
     def _learn(self, new: set[str]) -> None:
-        parts = {c: self.vocab.word.findall(c) for c in new}
-        words = list({w for p in parts.values() for w in p if w not in self.words})
-        for word, ids in zip(words, self.vocab.encode(words), strict=True):
-            self.words[word] = array("I", ids).tobytes()
-            self.held += len(word) + 4 * len(ids) + _ENTRY_BYTES
-        known = self.words
-        for chunk, part in parts.items():
-            ids = self.chunks[chunk] = known[part[0]] if len(part) == 1 else b"".join([known[w] for w in part])
-            self.held += len(chunk) + len(ids) + _ENTRY_BYTES
+        if not new:
+            return
+        find, known, chunks = self.vocab.word.findall, self.words, self.chunks
+        parts = [find(c) for c in new]
+        words = list(set(chain.from_iterable(parts)).difference(known))
+        if words:
+            made = self.merges.encode(words)
+            known.update(zip(words, made, strict=True))
+            self.held += sum(map(len, words)) + sum(map(len, made)) + _ENTRY_BYTES * len(words)
+        whole = [known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p]) for p in parts]
+        chunks.update(zip(new, whole, strict=True))
+        self.held += sum(map(len, new)) + sum(map(len, whole)) + _ENTRY_BYTES * len(whole)
 
     def _forget(self) -> None:
         """Keep the earliest quarter of the chunks, the most common ones."""

@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +47,7 @@ _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _PLAIN = bytes.maketrans(_UPPER + _ENDS + _BLANKS, _LOWER + b"\n" * len(_ENDS) + b" " * len(_BLANKS))
 _WIDTH = 32
 _LOW = (1 << _WIDTH) - 1
+_MOST_WORDS = 4  # of a phrase
 _NO_WORD = 2  # ids below are the end of a piece and the empty word
 
 
@@ -70,50 +73,70 @@ class Container:
         if len(counts) > node.limit:
             node.burst()
 
+    def add_all(self, phrases: list[int], times: list[int]) -> None:
+        """:meth:`add` for many phrases; containers burst when all are in."""
+        counts, children = self.counts, self.children
+        grown: dict[int, Container] = {}
+        for phrase, n in zip(phrases, times, strict=True):
+            below = children.get(first := phrase & _LOW)
+            if below is None:
+                counts[phrase] = counts.get(phrase, 0) + n
+            elif below.children:
+                below.add(phrase >> _WIDTH, n)
+            else:
+                rest = phrase >> _WIDTH
+                own = below.counts
+                own[rest] = own.get(rest, 0) + n
+                if len(own) > below.limit:
+                    grown[first] = below
+        for node in (*grown.values(), self):
+            if len(node.counts) > node.limit:
+                node.burst()
+
     def burst(self) -> None:
         """Give each frequent next word a container; rarer words stay in this one."""
-        after: dict[int, list[int]] = {}
+        counts = self.counts
         if self.depth < DEPTH:
-            for phrase in self.counts:
-                if phrase >> _WIDTH:
-                    after.setdefault(phrase & _LOW, []).append(phrase)
-        for word, phrases in after.items():
-            if len(phrases) >= OWN:
-                below = self.children[word] = Container(self.depth + 1)
-                below.counts = {p >> _WIDTH: self.counts.pop(p) for p in phrases}
-                # the word alone, if it was counted, lies below too
-                if (alone := self.counts.pop(word, None)) is not None:
-                    below.counts[0] = alone
+            longer = [phrase & _LOW for phrase in counts if phrase >> _WIDTH]
+            words, n = np.unique(np.array(longer, dtype=np.int64), return_counts=True)
+            made = {word: Container(self.depth + 1) for word in words[n >= OWN].tolist()}
+            if made:
+                # the word alone, if it was counted, lies below too, as no further word
+                for phrase in [phrase for phrase in counts if phrase & _LOW in made]:
+                    made[phrase & _LOW].counts[phrase >> _WIDTH] = counts.pop(phrase)
+                self.children |= made
         self.limit = max(BURST, 2 * len(self.counts))
 
     def __len__(self) -> int:
         return len(self.counts) + sum(map(len, self.children.values()))
 
-    def items(self, before: tuple[int, ...] = ()) -> Iterator[tuple[tuple[int, ...], int]]:
-        """Word ids and count of every phrase below."""
-        for phrase, n in self.counts.items():
-            ids = before
-            while phrase:
-                ids, phrase = (*ids, phrase & _LOW), phrase >> _WIDTH
-            yield ids, n
+    def hashes(self, before: tuple[int, ...] = ()) -> Iterator[tuple[tuple[int, ...], dict[int, int]]]:
+        """Every hash container with the words that lead to it."""
+        if self.counts:
+            yield before, self.counts
         for word, below in self.children.items():
-            yield from below.items((*before, word))
+            yield from below.hashes((*before, word))
 
 
 class Words(dict):
-    """Ids of words in order of appearance, and a hash of each that is the same everywhere."""
+    """Ids of words in order of appearance."""
 
     def __init__(self):
         super().__init__({b"\n": 0, b"": 1})
-        self.hashes: list[int] = [0, 0]
         self.size = 0
+        self._hashes = np.zeros(2, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        made = self[word] = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        made = self[word] = len(self)
         self.size += len(word)
         return made
 
+    def hashes(self) -> np.ndarray:
+        """A hash of each word, which is the same everywhere."""
+        new = map(xxhash.xxh3_64_intdigest, islice(self, len(self._hashes), None))
+        self._hashes = np.concatenate((self._hashes, np.fromiter(new, np.uint64)))
+        return self._hashes
+
 
 def _pair_places(first: np.ndarray, second: np.ndarray, lang: str, bits: int) -> np.ndarray:
     """Places in the filter of pairs, from the hashes of their words."""
@@ -135,7 +158,7 @@ def _blocks(text: bytes, most: int) -> Iterator[bytes]:
 
 
 class Counting:
-    """Counts phrases of one task's texts and gives runs of (lang, phrase, n)."""
+    """Counts phrases of one task's texts and gives runs of (lang, prefix, rest, n)."""
 
     def __init__(self, pairs: np.ndarray | None = None, bits: int = 0):
         self.pairs, self.bits = pairs, bits
@@ -157,22 +180,18 @@ class Counting:
 
     @staticmethod
     def _words_and_pairs(trie: Container, ids: np.ndarray, inside: np.ndarray) -> None:
-        add = trie.add
         every, n = np.unique(ids[inside], return_counts=True)
-        for phrase, count in zip(every.tolist(), n.tolist(), strict=True):
-            add(phrase, count)
+        trie.add_all(every.tolist(), n.tolist())
         both = inside[:-1] & inside[1:]
         pairs = ids[:-1][both] | ids[1:][both] << np.uint64(_WIDTH)
         every, n = np.unique(pairs, return_counts=True)
-        for phrase, count in zip(every.tolist(), n.tolist(), strict=True):
-            add(phrase, count)
+        trie.add_all(every.tolist(), n.tolist())
 
     def _longer(self, trie: Container, ids: np.ndarray, inside: np.ndarray, lang: str) -> None:
-        hashes = np.array(self.words[lang].hashes, dtype=np.uint64)[ids]
+        hashes = self.words[lang].hashes()[ids]
         both = inside[:-1] & inside[1:]
         places = _pair_places(hashes[:-1], hashes[1:], lang, self.bits)
         known = both & (self.pairs[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        add = trie.add
         starts = np.flatnonzero(known[:-1] & known[1:])
         # equal beginnings get one number, so that it and the next word fit into one integer
         keys = ids[starts] | ids[starts + 1] << np.uint64(_WIDTH)
@@ -181,8 +200,8 @@ class Counting:
             keys = numbers.astype(np.uint64) << np.uint64(_WIDTH) | ids[starts + size - 1]
             _, first, n = np.unique(keys, return_index=True, return_counts=True)
             columns = [ids[starts[first] + i].tolist() for i in range(size)]
-            for count, *phrase in zip(n.tolist(), *columns, strict=True):
-                add(reduce(lambda low, word: low << _WIDTH | word, reversed(phrase)), count)
+            phrases = [reduce(lambda low, word: low << _WIDTH | word, reversed(p)) for p in zip(*columns, strict=True)]
+            trie.add_all(phrases, n.tolist())
             further = starts + size - 1 < len(known)
             further[further] = known[starts[further] + size - 1]
             starts, keys = starts[further], keys[further]
@@ -199,27 +218,59 @@ class Counting:
         below = [
             (len(child), lang, word) for lang, trie in self.tries.items() for word, child in trie.children.items()
         ]
+        leaving: dict[str, list] = {}
         for size, lang, word in sorted(below, reverse=True):
-            if not everything and left <= MOST_PHRASES // 2:
-                return
-            yield from self._run(lang, self.tries[lang].children.pop(word).items((word,)))
-            left -= size
-        for lang, trie in list(self.tries.items()):
-            if not everything and left <= MOST_PHRASES // 2:
-                return
-            left -= len(trie)
-            yield from self._run(lang, trie.items())
-            del self.tries[lang], self.words[lang]
-
-    def _run(self, lang: str, items: Iterator[tuple[tuple[int, ...], int]]) -> Iterator[pa.RecordBatch]:
-        words = list(self.words[lang])
-        run = sorted([(b" ".join([words[i] for i in ids]), n) for ids, n in items])
-        for begin in range(0, len(run), 1 << 16):
-            part = run[begin : begin + (1 << 16)]
-            phrases = pa.array([p for p, _ in part], pa.binary()).cast(pa.string())
-            counts = pa.array([n for _, n in part], pa.int64())
-            langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(part), dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([langs, phrases, counts], ["lang", "phrase", "n"])
+            if everything or left > MOST_PHRASES // 2:
+                leaving.setdefault(lang, []).extend(self.tries[lang].children.pop(word).hashes((word,)))
+                left -= size
+        whole = {lang for lang in list(self.tries) if everything or left > MOST_PHRASES // 2}
+        for lang in whole:
+            leaving.setdefault(lang, []).extend(self.tries.pop(lang).hashes())
+        for lang, containers in leaving.items():
+            yield from self._run(lang, containers)
+        for lang in whole:
+            del self.words[lang]
+
+    def _run(self, lang: str, containers: list[tuple[tuple[int, ...], dict[int, int]]]) -> Iterator[pa.RecordBatch]:
+        """The phrases of ``containers`` in the order of their words, cut after the second word."""
+        if not containers:
+            return
+        known = self.words[lang]
+        table = pa.array(known, pa.binary()).cast(pa.string())
+        place = np.empty(len(known) + 1, dtype=np.int64)
+        place[sorted(range(len(known)), key=list(known).__getitem__)] = np.arange(1, len(known) + 1)
+        place[-1] = 0  # no word
+        columns: list[list[np.ndarray]] = [[] for _ in range(_MOST_WORDS)]
+        for before, phrases in containers:
+            for n, column in enumerate(columns):
+                if n < len(before):
+                    column.append(np.full(len(phrases), before[n], dtype=np.int64))
+                elif self.pairs is None:
+                    # at most two words: 64 bits
+                    if n == len(before):
+                        keys = np.fromiter(phrases, np.uint64, len(phrases))
+                    column.append((keys & np.uint64(_LOW)).astype(np.int64))
+                    keys = keys >> np.uint64(_WIDTH)
+                else:
+                    shift = _WIDTH * (n - len(before))
+                    column.append(np.array([k >> shift & _LOW for k in phrases], dtype=np.int64))
+        counts = [np.fromiter(phrases.values(), np.int64, len(phrases)) for _, phrases in containers]
+        ids = np.stack([np.concatenate(c) for c in columns])
+        ids[ids == 0] = -1
+        order = np.lexsort(place[ids][::-1])
+        n = np.concatenate(counts)
+        for begin in range(0, len(order), 1 << 17):
+            at = order[begin : begin + (1 << 17)]
+            prefix, rest = (self._joined(table, ids[i : i + 2, at]) for i in (0, 2))
+            langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(at), dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays([langs, prefix, rest, pa.array(n[at])], ["lang", "prefix", "rest", "n"])
+
+    @staticmethod
+    def _joined(table: pa.Array, ids: np.ndarray) -> pa.Array:
+        """Two words each, with a blank between them where there is a second one."""
+        words = [pc.fill_null(table.take(pa.array(i, mask=i < 0)), "") for i in ids]
+        between = pa.array(["", " "]).take(pa.array((ids[1] >= 0).astype(np.int32)))
+        return pc.binary_join_element_wise(*words, between)
 
 
 def _merged(docs: DataFrame, text: str, lang: str, pairs=None, bits: int = 0) -> DataFrame:
@@ -252,15 +303,10 @@ def _merged(docs: DataFrame, text: str, lang: str, pairs=None, bits: int = 0) ->
             yield from counted(lang)
         yield from counting.runs(everything=True)
 
-    runs = map_arrow(source, run, "lang string, phrase string, n long")
-    prefix = F.substring_index("phrase", " ", 2)
-    return (
-        runs.withColumn("prefix", prefix)
-        .repartition("lang", "prefix")
-        .groupBy("lang", "prefix", "phrase")
-        .agg(F.sum("n").alias("f"))
-        .drop("prefix")
-    )
+    runs = map_arrow(source, run, "lang string, prefix string, rest string, n long")
+    merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "rest").agg(F.sum("n").alias("f"))
+    phrase = F.when(F.col("rest") == "", F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "rest"))
+    return merged.select("lang", phrase.alias("phrase"), "f")
 
 
 def _pair_filter(pairs: DataFrame, bits: int) -> bytes:
