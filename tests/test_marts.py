@@ -124,3 +124,18 @@ def test_season_parts_fold_to_the_same_ranks(spark, fact, stations, calendar, sh
     by_station = {(r.Season, r.StationKey): r.AverageValue for r in found.collect()}
     assert by_station["Winter", "a"] == 4.5 and by_station["Summer", "a"] == 0.15
     assert str(by_station["Winter", "b"]) == "nan" and by_station["Winter", "c"] == 1e300
+
+
+def test_pivot_of_numbers_or_texts_alone(fact):
+    numbers = marts.eav_pivot(fact, {"Wind Gust": "gust"})
+    assert {(r.StationKey, r.gust) for r in numbers.collect()} == {("a", 9.0), ("c", 99.0)}
+    texts = marts.eav_pivot(fact, {"Wind Direction": "direction"}, {"Wind Direction"}, ["StationKey"])
+    assert [tuple(r) for r in texts.collect()] == [("a", "SW")]
+
+
+def test_pivot_sorts_texts_only(fact):
+    wide = marts.eav_pivot(fact, {"Wind Speed": "speed", "Wind Direction": "direction"}, {"Wind Direction"})
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    of_texts = [line for line in plan.split("\n") if "SortAggregate" in line]
+    assert of_texts and all("ValueString" in line and "ValueNumeric" not in line for line in of_texts)

@@ -7,6 +7,7 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.incremental import key_struct
 from tidemark.operators.ranking import TASK_ROWS, rank_desc
 from tidemark.operators.scd2 import current_versions
 from tidemark.sources.tables import staged
@@ -34,18 +35,21 @@ def eav_pivot(
     """Wide view: one row per ``keys``, one column per entry of ``metrics``.
 
     ``metrics`` maps metric names to column names. Being given, they need no pass
-    to find them, and one conditional aggregation does the turn in one shuffle.
+    to find them, and conditional aggregation does the turn. Numbers and texts are turned
+    apart, each reading its own metrics only: a maximum of numbers is kept in a hash table,
+    one of texts needs its rows sorted. Both are dealt out by the same key, so that putting
+    them together moves nothing.
     """
+    numbers = {m: alias for m, alias in metrics.items() if m not in text_metrics}
+    texts = {m: alias for m, alias in metrics.items() if m in text_metrics}
 
-    def cell(metric: str, alias: str):
-        value = F.col("ValueString" if metric in text_metrics else "ValueNumeric")
-        return F.max(F.when(F.col("MetricName") == metric, value)).alias(alias)
+    def turned(some: Mapping[str, str], value: str) -> DataFrame:
+        cells = [F.max(F.when(F.col("MetricName") == m, F.col(value))).alias(alias) for m, alias in some.items()]
+        return fact.filter(F.col("MetricName").isin(*some)).groupBy(key_struct(keys)).agg(*cells)
 
-    return (
-        fact.filter(F.col("MetricName").isin(*metrics))
-        .groupBy(*keys)
-        .agg(*[cell(metric, alias) for metric, alias in metrics.items()])
-    )
+    parts = [turned(some, value) for some, value in ((numbers, "ValueNumeric"), (texts, "ValueString")) if some]
+    wide = parts[0] if len(parts) == 1 else parts[0].join(parts[1], "_key", "full")
+    return wide.select(*[F.col(f"_key.{k}").alias(k) for k in keys], *metrics.values())
 
 
 def season_parts(
