@@ -122,7 +122,7 @@ def test_search_equals_every_stretch():
     for n in range(30):
         words = [rng.randint(1, 12) if rng.random() < 0.4 else rng.randint(1, 300) for _ in range(rng.randint(3, 40))]
         items.append(latent_leaks.Item(n, words, words[-rng.randint(3, 12) :] if n % 3 else words))
-    search = latent_leaks.Search(items, np.zeros((301, 2), np.float32), [0] * 301)
+    search = latent_leaks.Search(items, np.zeros((301, 2), np.float32), [0] * 301, range(30))
     rows = []
     for _ in range(120):
         words = [rng.randint(0, 300) for _ in range(rng.randint(0, 80))]
@@ -141,4 +141,66 @@ def test_search_equals_every_stretch():
                 if whole >= 0.8 or whole >= 0.5 and answer >= 0.8:
                     truth.add((r, n))
     assert len(truth) > 40
-    assert {m[:2] for m in search.matches([np.array(w, "<u4").tobytes() for w in rows])} == truth
+    coded = [np.array(w, "<u4").tobytes() for w in rows]
+    assert {m[:2] for m in search.matches(coded)} == truth
+    # without a latent space, and without rare words in its place, nothing is found
+    assert latent_leaks.Search(items, np.zeros((301, 2), np.float32), [0] * 301).matches(coded) == []
+
+
+@pytest.mark.parametrize("many", [150, 3000])
+def test_leaks_of_many_items(spark, many):
+    """Whole, paraphrased and cut leaks: cosines alone find those of some hundred items; thousands
+    of unlike ones have no direction in a space of this rank and are found by rare words."""
+    rng = random.Random(21)
+    common = [f"c{n}" for n in range(60)]
+    rare = [f"r{n}" for n in range(30_000)]
+
+    def prose(n):
+        return [rng.choice(common) if rng.random() < 0.45 else rng.choice(rare) for _ in range(n)]
+
+    items = {n: prose(rng.randint(20, 120)) for n in range(many)}
+    docs, planted = {}, {}
+    for n in range(1500):
+        words, item = prose(rng.randint(0, 250)), rng.randrange(many)
+        passage = list(items[item])
+        if n % 3 == 1:
+            for at in range(4, len(passage), 6):
+                passage[at] = "other"
+        elif n % 3 == 2:
+            passage = passage[round(0.4 * len(passage)) :]
+        at = rng.randint(0, len(words))
+        words[at:at] = passage
+        docs[n], planted[n] = words, item
+    # the last quarter of an item is its answer
+    bench = [(k, " ".join(w[: -len(w) // 4]) + ". " + " ".join(w[-len(w) // 4 :])) for k, w in items.items()]
+    number: dict = {}
+    listed = [
+        latent_leaks.Item(k, [number.setdefault(w, len(number) + 1) for w in latent_leaks.words_of(t)], [number[w] for w in latent_leaks.answer_of(t)])
+        for k, t in bench
+    ]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string")
+    codes = latent_leaks.staged(latent_leaks.coded(df, "doc_id", "text", number), "codes")
+    counts, passages = latent_leaks.passage_counts(codes, len(number))
+    idf = np.concatenate(([0.0], np.log1p(passages / np.maximum(counts, 1)))).astype(np.float32)
+    space = latent_leaks.latent_space(codes, listed, idf)
+    weak = latent_leaks.weak_items(listed, space, idf)
+    assert (len(weak) == 0) == (many == 150)
+    search = latent_leaks.Search(listed, space, [0, *counts.tolist()], weak)
+    rows = [(r.doc_id, bytes(r.ids)) for r in codes.collect()]
+    found = {(rows[m[0]][0], m[1]) for m in search.matches([ids for _, ids in rows])}
+    truth = {(k, planted[k]) for k, ids in rows if search.shares(np.frombuffer(ids, "<u4").tolist(), planted[k])}
+    assert len(found & truth) >= 0.99 * len(truth) > 1300
+    assert len(found - truth) <= 0.01 * len(truth)
+
+
+def test_different_passages_are_counted(spark):
+    rng = random.Random(4)
+    number = {f"w{n}".encode(): n + 1 for n in range(300)}
+    texts = [" ".join(f"w{rng.randrange(5) if rng.random() < 0.3 else rng.randrange(5, 300)}" for _ in range(200)) for _ in range(1000)]
+    rows = [(n, t) for n, t in enumerate([*texts, *[texts[0]] * 2000, "", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    counts, passages = latent_leaks.passage_counts(latent_leaks.coded(df, "doc_id", "text", number), 300)
+    cells = {tuple(t.split()[n : n + 64]) for t in texts for n in range(0, 200, 64)}
+    assert passages == pytest.approx(len(cells), rel=0.3)
+    exact = np.array([sum(f"w{n}" in cell for cell in map(set, cells)) for n in range(300)])
+    assert np.median(np.abs(np.log(counts / exact))) < 0.15 and np.abs(np.log(counts / exact)).max() < 0.6

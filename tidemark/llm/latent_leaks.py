@@ -1,11 +1,12 @@
-"""Benchmark leaks by longest common subsequences, with a latent semantic score.
-
-A leak lacks few of an item's words, so some of the item's rarest words always stand close
-together in it: that decides which stretches of a document are compared, and leaves none
-out. The longest common subsequence with the item, over all its words and over its answer,
-decides, so that paraphrases count and shared phrases do not. The cosine comes from passages
-of all documents, as TF-IDF rows over the words of the benchmark, reduced by a randomised
-SVD whose sums Spark gathers.
+"""Benchmark leaks by latent semantic retrieval and longest common subsequences.
+
+Passages of all documents are TF-IDF rows over the words of the benchmark, reduced by a
+randomised SVD whose sums Spark gathers. Windows of the documents whose latent direction
+has a high enough cosine with that of a passage of an item are candidates; an item whose
+passages have hardly any share in the latent space is looked for by its rarest words
+instead, of which any leak holds some. Around candidates, the longest common subsequence
+with the item, over all its words and over its answer, decides, so that paraphrases count
+and shared phrases do not.
 """
 
 from __future__ import annotations
@@ -27,15 +28,22 @@ from tidemark.sources.tables import staged
 
 CELL = 32  # words; a window is two neighbouring cells
 PIECE = 48  # words of an item's passage, at most
-RANK, SPARE = 64, 8
+RANK, SPARE = 128, 8
+#: Windows from this cosine on are compared; passages that keep less than the share of their
+#: length in the latent space have no direction to go by.
+LEAST_COSINE, LEAST_KEPT = 0.3, 0.3
+#: Passages whose cosines are worked out at a time.
+TARGETS = 1024
 #: A leak holds this share of the item's words in order, or the lower share and the answer's.
 LEAST_WHOLE, LEAST_PART, LEAST_ANSWER = 0.8, 0.5, 0.8
 #: Characters of benchmark text that one search holds in memory, on average; more takes several.
 BLOCK_CHARS = 500_000
 #: Words that a task turns into vectors at a time.
-SLICE_WORDS = 250_000
+SLICE_WORDS = 100_000
 
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Registers of a count of different passages.
+REGISTERS = 64
 _COLUMNS = 256  # rows of the vocabulary in one partial sum
 
 
@@ -121,8 +129,11 @@ def _word_slices(rows: list[bytes]) -> Iterator[tuple[int, int]]:
         yield begin, len(rows)
 
 
-def _sums(codes: DataFrame, make: Callable[[], tuple[Callable, Callable]], kind: str) -> dict[int, np.ndarray]:
-    """Vectors by number, added up over all documents: in each task, then by Spark in two steps.
+def _sums(
+    codes: DataFrame, make: Callable[[], tuple[Callable, Callable]], kind: str, fold: np.ufunc = np.add
+) -> dict[int, np.ndarray]:
+    """Vectors by number, added up (or folded) over all documents: in each task, then by Spark
+    in two steps.
 
     ``make`` gives a function to take in rows of ids and one that returns {number: vector}.
     The result is as large as the vocabulary, whatever the input.
@@ -147,7 +158,7 @@ def _sums(codes: DataFrame, make: Callable[[], tuple[Callable, Callable]], kind:
         for batch in batches:
             for number, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 part = np.frombuffer(vector, kind)
-                total[number] = total[number] + part if number in total else part
+                total[number] = fold(total[number], part) if number in total else part
         yield out(total)
 
     parts = map_arrow(codes, first, schema)
@@ -157,24 +168,60 @@ def _sums(codes: DataFrame, make: Callable[[], tuple[Callable, Callable]], kind:
     return {r.number: np.frombuffer(r.vector, kind) for r in twice.collect()}
 
 
-def passage_counts(codes: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """In how many passages of two cells each word occurs, and the number of passages."""
+def _hashed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
+
+
+def _distinct(registers: np.ndarray) -> np.ndarray:
+    """How many different values HyperLogLog registers have seen, row by row, about."""
+    size = registers.shape[1]
+    raw = 0.709 * size**2 / np.exp2(-registers.astype(float)).sum(1)
+    empty = (registers == 0).sum(1)
+    few = size * np.log(size / np.maximum(empty, 1))
+    return np.where((raw <= 2.5 * size) & (empty > 0), few, raw)
+
+
+def passage_counts(codes: DataFrame, size: int) -> tuple[np.ndarray, float]:
+    """In how many different passages of two cells each word occurs, and how many there are.
+
+    Both are HyperLogLog counts over all passages, so that copies count once however many
+    there are; they err by some percent, of which the IDF takes the logarithm.
+    """
 
     def make():
-        total = np.zeros(size + 1, np.int64)
+        registers = np.zeros((size + 1) * REGISTERS, np.uint8)
 
         def take(rows: list[bytes]) -> None:
             laid = _laid_out(rows, 2 * CELL)
+            if not len(laid.ids):
+                return
+            starts = np.flatnonzero(np.concatenate(([True], laid.cell[1:] != laid.cell[:-1])))
+            inside = np.arange(len(laid.ids)) - np.repeat(starts, np.diff(np.append(starts, len(laid.ids))))
+            each = _hashed(laid.ids.astype(np.uint64) << np.uint64(7) | inside.astype(np.uint64))
+            passage = np.add.reduceat(each, starts)
             known = laid.ids > 0
-            pairs = np.unique(laid.cell[known] * size + laid.ids[known] - 1)
-            total[1:] += np.bincount(pairs % size, minlength=size)
-            total[0] += laid.firsts[-1]
+            pairs = np.unique((laid.cell[known] - laid.cell[0]) * (size + 1) + laid.ids[known])
+            at, word = np.divmod(pairs, size + 1)
+            # word 0 stands for all passages
+            at, word = np.concatenate((np.arange(len(passage)), at)), np.concatenate((np.zeros(len(passage), int), word))
+            value = _hashed(passage[at] + word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            leading = 53 - np.frexp((value >> np.uint64(11)).astype(float))[1]
+            place = word * REGISTERS + (value % np.uint64(REGISTERS)).astype(np.int64)
+            np.maximum.at(registers, place, (leading + 1).astype(np.uint8))
+
+        def give() -> dict[int, np.ndarray]:
+            parts = {n: registers[n * REGISTERS : (n + _COLUMNS) * REGISTERS] for n in range(0, size + 1, _COLUMNS)}
+            return {n: part for n, part in parts.items() if part.any()}
 
-        return take, lambda: {0: total}
+        return take, give
 
-    sums = _sums(codes, make, "<i8")
-    total = sums.get(0, np.zeros(size + 1, np.int64))
-    return total[1:], int(total[0])
+    registers = np.zeros(((size + 1) * REGISTERS,), np.uint8)
+    for n, part in _sums(codes, make, "u1", np.maximum).items():
+        registers[n * REGISTERS : n * REGISTERS + len(part)] = part
+    found = _distinct(registers.reshape(-1, REGISTERS))
+    return found[1:], float(found[0])
 
 
 def _rows(cells: np.ndarray, ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -287,31 +334,127 @@ def _probe(words: list[int], counts: Sequence[int], least: float) -> tuple[list[
     return chosen, held - lacking
 
 
+def weak_items(items: list[Item], space: np.ndarray, idf: np.ndarray) -> list[int]:
+    """Items with a passage that the latent space hardly knows; ``space`` holds words times IDF."""
+    weak = []
+    for n, item in enumerate(items):
+        for piece in _pieces(item.words):
+            ids, times = np.unique(piece, return_counts=True)
+            whole = np.linalg.norm(times * idf[ids])
+            if np.linalg.norm(times @ space[ids]) < LEAST_KEPT * whole or not whole:
+                weak.append(n)
+                break
+    return weak
+
+
+def _parts(n: int, size: int = 4096) -> Iterator[slice]:
+    for begin in range(0, n, size):
+        yield slice(begin, begin + size)
+
+
 class Search:
-    """Stretches that hold enough rare words of an item, then exact shares, for rows of ids."""
+    """Windows near an item's passages, then exact shares, for rows of ids. The items ``weak``
+    are looked for by stretches that hold enough of their rarest words."""
 
-    def __init__(self, items: list[Item], space: np.ndarray, counts: Sequence[int]):
+    def __init__(self, items: list[Item], space: np.ndarray, counts: Sequence[int], weak: Sequence[int] = ()):
         self.items, self.space = items, space
-        self.targets = [
-            _unit(np.stack([space[np.array(p, np.int64)].sum(0) for p in _pieces(item.words)])) for item in items
-        ]
+        known = sorted({*range(len(items))}.difference(weak))
+        passages = [(n, p) for n in known for p in _pieces(items[n].words)]
+        self.item_of_target = np.array([n for n, _ in passages], np.int64)
+        sums = [space[np.array(p, np.int64)].sum(0) for _, p in passages]
+        self.targets = _unit(np.stack(sums)) if sums else np.zeros((0, space.shape[1]), space.dtype)
         self.masks = [(masks_of(i.words), masks_of(i.answer)) for i in items]
-        probes = []
+        self.times = [(Counter(i.words), Counter(i.answer)) for i in items]
+        every = []
         for n, item in enumerate(items):
-            probes.append((n, *_probe(item.words, counts, LEAST_WHOLE)))
-            if item.answer != item.words:
-                probes.append((n, *_probe(item.answer, counts, LEAST_ANSWER)))
-        self.item_of = np.array([n for n, _, _ in probes])
-        self.hits = np.array([hits for _, _, hits in probes])
-        self.spans = np.array([2 * len(items[n].words) for n, _, _ in probes])
-        words = np.array([w for _, chosen, _ in probes for w in chosen])
+            every.append((n, *_probe(item.words, counts, LEAST_WHOLE)))
+            # of the same words again where the answer is the whole item
+            every.append((n, *_probe(item.answer, counts, LEAST_ANSWER)))
+        # which words are in which probe; other pairs of both may seem to be, but none is lost
+        self.held = np.zeros(1 << 24, dtype=bool)
+        for n, (_, chosen, _) in enumerate(every):
+            self.held[self._slot(np.array(chosen, np.int64), n)] = True
+        self.needed = np.array([hits for _, _, hits in every], np.int64)
+        self.reach = np.array([2 * len(item.words) for item in items], np.int64)
+        probes = [every[2 * n + side] for n in weak for side in (0, 1) if not side or items[n].answer != items[n].words]
+        self.item_of = np.array([n for n, _, _ in probes], np.int64)
+        self.hits = np.array([hits for _, _, hits in probes], np.int64)
+        self.spans = np.array([2 * len(items[n].words) for n, _, _ in probes], np.int64)
+        words = np.array([w for _, chosen, _ in probes for w in chosen], np.int64)
         owner = np.repeat(np.arange(len(probes)), [len(chosen) for _, chosen, _ in probes])
         self.owners = owner[np.argsort(words, kind="stable")]
         self.degrees = np.bincount(words, minlength=len(space))
         self.begins = np.cumsum(self.degrees) - self.degrees
 
+    @staticmethod
+    def _slot(word: np.ndarray, probe: np.ndarray | int) -> np.ndarray:
+        return (word * 0x9E3779B1 + probe * 0x85EBCA77) & ((1 << 24) - 1)
+
+    def _stretches(
+        self, laid: Cells, row: np.ndarray, begin: np.ndarray, item: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Windows (which of those that begin at words ``begin`` of all laid out), and the words in
+        their reach at which a stretch with enough words of one of the item's probes begins."""
+        low = np.maximum(laid.begins[row], begin - self.reach[item])
+        high = np.minimum(laid.begins[row + 1], begin + 2 * CELL + self.reach[item])
+        sizes = high - low
+        at = np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+        owner, words = np.repeat(np.arange(len(row)), sizes), laid.ids[at]
+        known = words > 0
+        at, owner, words = at[known], owner[known], words[known]
+        windows, places = [], []
+        for side in (0, 1):
+            probe = 2 * item + side
+            hit = np.flatnonzero(self.held[self._slot(words, probe[owner])])
+            place, own = at[hit], owner[hit]
+            last = np.arange(len(hit)) + self.needed[probe[own]] - 1
+            inside = last < len(hit)
+            last = np.minimum(last, len(hit) - 1)
+            close = inside & (own[last] == own) & (place[last] - place < self.reach[item[own]])
+            windows.append(own[close])
+            places.append(place[close])
+        return np.concatenate(windows), np.concatenate(places)
+
+    def near(self, rows: list[bytes]) -> tuple[dict[tuple[int, int], list[int]], dict[tuple[int, int], float]]:
+        """(row, item) to the words near windows near the item at which a stretch begins that holds
+        as many words of a probe as any leak does, and to the windows' highest cosine."""
+        laid = _laid_out(rows, CELL)
+        places: dict[tuple[int, int], list[int]] = {}
+        best: dict[tuple[int, int], float] = {}
+        if not len(laid.ids) or not len(self.targets):
+            return places, best
+        starts = np.flatnonzero(np.concatenate(([True], laid.cell[1:] != laid.cell[:-1])))
+        cells = np.add.reduceat(self.space[laid.ids], starts)
+        row_of = np.repeat(np.arange(len(rows)), np.diff(laid.firsts))
+        follows = row_of[1:] == row_of[:-1]
+        cells[:-1][follows] += cells[1:][follows].copy()
+        windows = _unit(cells)
+        for begin in range(0, len(self.targets), TARGETS):
+            cosines = windows @ self.targets[begin : begin + TARGETS].T
+            at, target = np.nonzero(cosines >= LEAST_COSINE)
+            if not len(at):
+                continue
+            row, item, cosine = row_of[at], self.item_of_target[target + begin], cosines[at, target]
+            word = laid.begins[row] + (at - laid.firsts[row]) * CELL
+            for part in _parts(len(at)):
+                window, place = self._stretches(laid, row[part], word[part], item[part])
+                window += part.start
+                found = zip(
+                    row[window].tolist(),
+                    item[window].tolist(),
+                    (place - laid.begins[row[window]]).tolist(),
+                    cosine[window].tolist(),
+                    strict=True,
+                )
+                for r, n, place, near in found:
+                    places.setdefault((r, n), []).append(place)
+                    best[r, n] = max(near, best.get((r, n), -1.0))
+        return places, best
+
     def candidates(self, rows: list[bytes]) -> dict[tuple[int, int], list[int]]:
-        """(row, item) to the words at which a stretch with enough of a probe's words begins."""
+        """(row, weak item) to the words at which a stretch with enough of a probe's words begins."""
+        if not len(self.item_of):
+            return {}
         parts = [np.frombuffer(r, "<u4") for r in rows]
         ids = np.concatenate([*parts, np.zeros(0, "<u4")]).astype(np.int64)
         sizes = np.array([len(p) for p in parts], np.int64)
@@ -344,10 +487,17 @@ class Search:
         item, (whole, answer) = self.items[n], self.masks[n]
         size, step = len(item.words), max(1, len(item.words) // 2)
 
+        every, (times, of_answer) = whole.keys(), self.times[n]
+
         def share(near: list[int]) -> tuple[float, float]:
-            near = [w for w in near if w in whole]
-            if len(near) < LEAST_PART * size:
+            # no subsequence is longer than the words that both have
+            here = every & set(near)
+            held = sum([times[w] for w in here])
+            if held < LEAST_PART * size:
                 return 0.0, 0.0
+            if held < LEAST_WHOLE * size and sum([of_answer[w] for w in here]) < LEAST_ANSWER * len(item.answer):
+                return 0.0, 0.0
+            near = [w for w in near if w in here]
             return common(near, whole, size) / size, common(near, answer, len(item.answer)) / len(item.answer)
 
         def leak(of: tuple[float, float]) -> bool:
@@ -366,35 +516,28 @@ class Search:
                         best = own
         return best
 
-    def windows(self, row: bytes) -> np.ndarray:
-        """Latent directions of the windows of two neighbouring cells."""
-        laid = _laid_out([row], CELL)
-        cells = np.add.reduceat(self.space[laid.ids], np.arange(0, len(laid.ids), CELL))
-        cells[:-1] += cells[1:].copy()
-        return _unit(cells)
-
     def matches(self, rows: list[bytes]) -> list[tuple[int, int, float, float, float]]:
         """(row, item, best cosine of a window, shares of all words and of the answer) of the leaks."""
+        places, cosines = self.near(rows)
+        for pair, at in self.candidates(rows).items():
+            places.setdefault(pair, []).extend(at)
         result = []
         lists: dict[int, list[int]] = {}
-        windows: dict[int, np.ndarray] = {}
-        for (row, n), places in self.candidates(rows).items():
+        for (row, n), at in places.items():
+            ranges = _joined(at, 2 * len(self.items[n].words))
             if row not in lists:
                 lists[row] = np.frombuffer(rows[row], "<u4").tolist()
-            reach = 2 * len(self.items[n].words)
-            found = [self.shares(lists[row][begin:end], n) for begin, end in _joined(places, reach)]
+            found = [self.shares(lists[row][begin:end], n) for begin, end in ranges]
             best = max((f for f in found if f), default=None)
             if best:
-                if row not in windows:
-                    windows[row] = self.windows(rows[row])
-                result.append((row, n, float((windows[row] @ self.targets[n].T).max()), *best))
+                result.append((row, n, cosines.get((row, n), 0.0), *best))
         return result
 
 
 def _joined(places: list[int], reach: int) -> list[tuple[int, int]]:
     """Ranges of words that hold every stretch of ``reach`` words around a place, overlaps joined."""
     ranges: list[list[int]] = []
-    for place in sorted(places):
+    for place in sorted(set(places)):
         begin, end = max(0, place - reach + 1), place + reach
         if ranges and begin <= ranges[-1][1]:
             ranges[-1][1] = end
@@ -417,12 +560,13 @@ def _leaks_of(docs: DataFrame, rows: list, key: str, text: str, item_key: str, s
     idf = np.concatenate(([0.0], np.log1p(passages / np.maximum(counts, 1))))
     idf = idf.astype(np.float32)
     space = latent_space(codes, items, idf)
-    shared = docs.sparkSession.sparkContext.broadcast((items, space, [0, *counts.tolist()]))
+    weak = weak_items(items, space, idf)
+    shared = docs.sparkSession.sparkContext.broadcast((items, space, [0, *counts.tolist()], weak))
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, space, counts = shared.value
-        search = Search(items, space, counts)
+        items, space, counts, weak = shared.value
+        search = Search(items, space, counts, weak)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for begin, end in _word_slices(texts):
@@ -443,7 +587,8 @@ def find_leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """Pairs of ``key`` and ``item_key`` where the document holds the item, with ``cosine``,
-    ``lcs_share`` and ``answer_share``.
+    ``lcs_share`` and ``answer_share``. Candidates come by their cosine, those of items without a
+    direction by rare words; then ``cosine`` is 0.
 
     The benchmark is searched in blocks of bounded size, each against all documents, and
     each block's vocabulary bounds what is broadcast or gathered. Null or blank texts on
