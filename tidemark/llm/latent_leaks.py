@@ -31,7 +31,7 @@ PIECE = 48  # words of an item's passage, at most
 RANK, SPARE = 128, 8
 #: Windows from this cosine on are compared; passages that keep less than the share of their
 #: length in the latent space have no direction to go by.
-LEAST_COSINE, LEAST_KEPT = 0.3, 0.3
+LEAST_COSINE, LEAST_KEPT = 0.25, 0.3
 #: Passages whose cosines are worked out at a time.
 TARGETS = 1024
 #: A leak holds this share of the item's words in order, or the lower share and the answer's.
@@ -39,7 +39,7 @@ LEAST_WHOLE, LEAST_PART, LEAST_ANSWER = 0.8, 0.5, 0.8
 #: Characters of benchmark text that one search holds in memory, on average; more takes several.
 BLOCK_CHARS = 500_000
 #: Words that a task turns into vectors at a time.
-SLICE_WORDS = 100_000
+SLICE_WORDS = 30_000
 
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Registers of a count of different passages.
@@ -423,8 +423,13 @@ class Search:
         best: dict[tuple[int, int], float] = {}
         if not len(laid.ids) or not len(self.targets):
             return places, best
-        starts = np.flatnonzero(np.concatenate(([True], laid.cell[1:] != laid.cell[:-1])))
-        cells = np.add.reduceat(self.space[laid.ids], starts)
+        # only words of the benchmark have a direction
+        known = np.flatnonzero(laid.ids)
+        cell = laid.cell[known]
+        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(known) else known
+        cells = np.zeros((laid.firsts[-1], self.space.shape[1]), self.space.dtype)
+        if len(known):
+            cells[cell[starts]] = np.add.reduceat(self.space[laid.ids[known]], starts)
         row_of = np.repeat(np.arange(len(rows)), np.diff(laid.firsts))
         follows = row_of[1:] == row_of[:-1]
         cells[:-1][follows] += cells[1:][follows].copy()
