@@ -47,7 +47,7 @@ from tidemark.plans.full_run import (
     stream_observations,
 )
 from tidemark.schemas import WEATHER_METRICS, Metric
-from tidemark.session import pin_utc, scratch_dir
+from tidemark.session import pack_tables, pin_utc, scratch_dir
 from tidemark.sources.files import drop_folder
 from tidemark.sources.landed import (
     batch_id,
@@ -92,7 +92,7 @@ def _query(function: Query) -> Query:
     """Register ``function`` under its name without the leading underscore."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _plain_times(function(pin_utc(spark), sf_dir))
+        return _plain_times(function(pack_tables(pin_utc(spark)), sf_dir))
 
     _QUERIES[function.__name__.removeprefix("_")] = run
     return function
@@ -606,7 +606,7 @@ def landed_again(spark, sf_dir):
         bronze_observations(spark, lake, Run(f"run-{n}", DAY_2, SOURCE))
     rest = domain.readings(lines.filter(~F.col("l_returnflag").isin("A", "N")))
     folder = f"{lake.landed_observations}/{batch}"
-    to_envelopes(rest, "station_geohash", batch).write.mode("append").json(folder)
+    to_envelopes(rest, "station_geohash", batch).write.mode("append").json(folder, compression="gzip")
     bronze_observations(spark, lake, Run("run-2", DAY_2, SOURCE))
     stored = read_table(spark, lake.bronze_observations, schemas.BRONZE_OBSERVATION)
     return stored.select("station_geohash", "datetime", "wind_direction")
