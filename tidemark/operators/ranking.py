@@ -12,6 +12,9 @@ from tidemark.sources.tables import staged
 # Groups up to this size are ranked by one task each.
 TASK_ROWS = 1_000_000
 
+#: Slices of a group at most: each of its values is compared with all their limits.
+MOST_SLICES = 256
+
 
 def rank_desc(
     df: DataFrame,
@@ -26,14 +29,15 @@ def rank_desc(
     ``at_most`` bounds the rows of a group. Beyond ``task_rows`` no group goes
     to one task: its distinct values are counted and cut into slices by value,
     and a rank is the number of rows in higher slices plus those above it in
-    its own. Slice limits only balance the work; any limits give the same rank.
+    its own. Slice limits only balance the work; any limits give the same rank. There are
+    ``MOST_SLICES`` at most, so that the work stays in proportion to the rows.
     """
     if at_most <= task_rows:
         order = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
         return df.withColumn(name, F.rank().over(order).cast("long"))
 
     rows = staged(df, "rank-rows")
-    slices = ceil(at_most / task_rows) + 1
+    slices = min(ceil(at_most / task_rows) + 1, MOST_SLICES)
     cuts = [i / slices for i in range(1, slices)]
     limits = staged(
         rows.groupBy(F.col(group).alias("_group")).agg(
