@@ -158,3 +158,49 @@ def test_string_and_null_keys(spark):
     assert sorted(got, key=str) == sorted([("b", "a"), ("a", "a"), (None, None), (None, None), ("c", "c"), ("d", "d")], key=str)
     assert order_minhash.first_of_class(docs).count() == 5
     assert order_minhash.near_classes(docs.limit(0)).collect() == []
+
+
+def test_members_unlike_the_lead_of_their_buckets_are_linked(spark):
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(40)]
+
+    def around(own):
+        return own[:30] + passage + own[30:]
+
+    texts = [around([f"w{rng.randrange(10**6)}" for _ in range(60)]) for _ in range(200)]
+    pairs = []
+    for _ in range(40):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        # every third of the own words replaced, so that no k-mer is common but those of the passage
+        other = [f"n{rng.randrange(10**6)}" if n % 3 == 1 else w for n, w in enumerate(own)]
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [around(own), around(other)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    made = {n: {*order_minhash.sketch(order_minhash.word_hashes(rows[n][1])[0])} for p in pairs for n in p}
+    agreeing = [p for p in pairs if made[p[0]] & made[p[1]]]
+    assert len(agreeing) >= 30
+    assert [p for p in agreeing if got[p[1]] != p[0]] == []
+    assert all(got[n] == n for n in range(200))
+
+
+@pytest.mark.parametrize("least", [0.8, 0.5])
+def test_alike_leaves_out_no_pair(spark, least):
+    rng = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(60)]
+    texts = []
+    for _ in range(25):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(5, 40))]
+        texts += [changed(rng, base, rng.randint(0, len(base) // 4)) for _ in range(4)]
+    texts = [t for t in texts if len(t) >= 5]
+    rows = [(n, n // 2, (order_minhash.word_hashes(" ".join(t))[0] >> np.uint64(32)).astype("<u4").tobytes()) for n, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "node long, root long, words binary")
+    got = [(r.a, r.b) for r in order_minhash.alike(df, least).collect()]
+    assert len(got) == len(set(got)) and all(a < b and a // 2 != b // 2 for a, b in got)
+    must = set()
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            longer = max(len(texts[a]), len(texts[b]))
+            if a // 2 != b // 2 and edits(texts[a], texts[b]) <= (1 - least) * longer + 1e-9:
+                must.add((a, b))
+    assert len(must) > 40 and must <= set(got)

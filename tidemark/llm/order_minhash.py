@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
@@ -26,11 +26,13 @@ WORDS = 5  # of a k-mer
 #: With words changed here and there, an alignment of 0.9 leaves J = 0.42, one of 0.85 J = 0.29,
 #: one of 0.8 J = 0.2: of such pairs 1 in 10 ** 5, 4 in 1,000 and 8 in 100 agree on none.
 SAMPLED, SKETCHES = 2, 64
-#: Further sketches by which members of a large bucket unlike its lead are dealt out again.
-FURTHER = 8
 LEAST = 0.8  # 1 - edits of words / words of the longer text
 #: Members of a bucket that gives all their pairs.
 SMALL = 12
+#: Rare words that two texts in large buckets share before they are compared.
+COMMON = 4
+#: Counters of words by which rare ones are told from frequent ones.
+COUNTERS = 1 << 17
 
 _RANDOM = np.random.default_rng(20)
 _TIMES = _RANDOM.integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -212,18 +214,8 @@ def similarities(pairs: list[tuple[np.ndarray, np.ndarray]], least: float) -> li
     return result
 
 
-def _far(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether no text linked to the one can be linked to the other.
-
-    Edits are a metric and links change at most ``1 - least`` of the longer text, whose words
-    are at most those of the shorter one by ``least``.
-    """
-    return _apart(a, b) > (1 - least) / least * (len(a) + len(b))
-
-
 def aligned(pairs: DataFrame, words: DataFrame, key: str, least: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough, with their ``similarity``; and, with a
-    null there, pairs that are not but may each be linked to a third text."""
+    """The pairs (a, b) whose texts are similar enough, with their ``similarity``."""
     with_b = pairs.join(words.select(F.col(key).alias("b"), F.col("words").alias("words_b")), "b")
     rows = with_b.join(words.select(F.col(key).alias("a"), F.col("words").alias("words_a")), "a")
     kind = words.schema[key].dataType.simpleString()
@@ -243,14 +235,100 @@ def aligned(pairs: DataFrame, words: DataFrame, key: str, least: float) -> DataF
                         strict=True,
                     )
                 )
-                found = similarities(texts, least)
-                kept = pa.array([s is not None or not _far(*t, least) for s, t in zip(found, texts, strict=True)])
-                columns = [part.column("a"), part.column("b"), pa.array(found, pa.float64())]
+                found = pa.array(similarities(texts, least), pa.float64())
+                columns = [part.column("a"), part.column("b"), found]
+                kept = found.is_valid()
                 yield pa.RecordBatch.from_arrays([c.filter(kept) for c in columns], schema=arrow)
 
     return map_arrow(rows.select("a", "b", "words_a", "words_b"), run, schema)
 
 
+def _most(longer: int, least: float) -> int:
+    """Edits that two linked texts may need."""
+    return int((1 - least) * longer + 1e-9)
+
+
+def _tokens(words: bytes) -> np.ndarray:
+    """A different 64-bit value for each occurrence of each word."""
+    ordered = np.sort(np.frombuffer(words, "<u4").astype(np.uint64))
+    places = np.arange(len(ordered))
+    begins = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    nth = (places - np.maximum.accumulate(np.where(begins, places, 0))).astype(np.uint64)
+    return _mix(ordered * np.uint64(0x9E3779B97F4A7C15) + nth * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _counter(tokens: np.ndarray) -> np.ndarray:
+    return (tokens % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _counts(texts: DataFrame) -> np.ndarray:
+    """How often the words of each counter occur in ``words``; a table of fixed size."""
+    schema = _parse_datatype_string("counter int, n long")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for words in batch.column(0).to_pylist():
+                np.add.at(total, _counter(_tokens(words)), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], schema=arrow)
+
+    sums = map_arrow(texts.select("words"), run, schema).groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[sums.column("counter").to_numpy()] = sums.column("n").to_numpy()
+    return counts
+
+
+def alike(texts: DataFrame, least: float = LEAST) -> DataFrame:
+    """Pairs (a, b) of the rows (node, root, words) whose roots differ, all that can be linked
+    among them.
+
+    Texts of at least ``WORDS`` words that are linked have all but ``_most`` of the longer one's
+    words in common. So of that number and ``COMMON`` more of each one's words, taken in one order
+    for all, ``COMMON`` are common to both; the order goes from rare to frequent words. A pair
+    comes from the last of its first ``COMMON`` common words, once.
+    """
+    common = max(1, min(COMMON, WORDS - _most(WORDS, least)))
+    shared = texts.sparkSession.sparkContext.broadcast(_counts(texts))
+    kind = texts.schema["node"].dataType.simpleString()
+    schema = _parse_datatype_string(f"node {kind}, root {kind}, size int, tokens array<long>")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            sizes, rare = [], []
+            for words in batch.column("words").to_pylist():
+                tokens = _tokens(words)
+                order = np.lexsort((tokens, counts[_counter(tokens)]))
+                sizes.append(len(tokens))
+                rare.append(tokens[order[: _most(len(tokens), least) + common]].view(np.int64))
+            columns = [batch.column("node"), batch.column("root"), pa.array(sizes, pa.int32()), pa.array(rare, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    rare = staged(map_arrow(texts.select("node", "root", "words"), run, schema), "rare-words")
+    each = rare.select("node", "root", "size", F.posexplode("tokens").alias("place", "token"))
+    # words of one class have nothing to tell
+    of_token = Window.partitionBy("token")
+    mixed = each.select("*", F.min("root").over(of_token).alias("x"), F.max("root").over(of_token).alias("y")).where("x <> y")
+    listed = F.sort_array(F.collect_list(F.struct("place", "token"))).getField("token").alias("tokens")
+    told = staged(mixed.groupBy("node", "root", "size").agg(listed), "told-words")
+    rows = told.select("node", "root", "size", "tokens", F.posexplode("tokens").alias("place", "token"))
+    rows = rows.where(F.col("place") >= common - 1).withColumn("before", F.slice("tokens", F.lit(1), F.col("place")))
+    a, b = rows.alias("a"), rows.alias("b")
+    longer, shorter = F.greatest("a.size", "b.size"), F.least("a.size", "b.size")
+    meet = a.join(
+        b,
+        (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.root") != F.col("b.root"))
+        & (F.col("a.node") < F.col("b.node"))
+        & (longer - shorter <= F.floor(longer * (1 - least) + 1e-9))
+        & (F.size(F.array_intersect("a.before", "b.before")) == common - 1),
+    )
+    return meet.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+
+
 def _with_roots(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Pairs (a, b) with ``root_a`` and ``root_b``, their classes so far."""
     for side in ("a", "b"):
@@ -279,6 +357,41 @@ def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
     )
 
 
+def _classes_of(shared: DataFrame, df: DataFrame, key: str, text: str, least: float) -> DataFrame | None:
+    """``node`` and ``root`` of the texts with a link, from rows (bucket, node, size)."""
+    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+    leads = shared.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("lead"))
+    stars = shared.join(leads, "bucket").where("node <> lead").groupBy("lead", "node").agg(F.count("*").alias("times"))
+    stars = staged(stars, "stars")
+    few = shared.where(F.col("size") <= SMALL).select("bucket", "node")
+    other = few.withColumnRenamed("node", "after")
+    every = few.join(other, "bucket").where("node < after").select(F.col("node").alias("a"), F.col("after").alias("b"))
+    both = F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")
+    pairs = staged(stars.select(*both).union(every).distinct(), "pairs")
+    needed = shared.select(F.col("node").alias(key)).distinct()
+    # the keys grow with the input: one plan at every size, which never broadcasts them
+    words = staged(word_rows(df, key, text).join(needed.hint("merge"), key, "left_semi"), "words")
+    # most classes are found by the lead that a node meets most often
+    best = stars.groupBy("node").agg(F.max_by("lead", F.struct("times", "lead")).alias("lead"))
+    tried = staged(best.select(*both).distinct(), "best-pairs")
+    roots = _joined(None, staged(aligned(tried, words, key, least), "links"))
+    apart = _with_roots(pairs, roots).where("root_a <> root_b").select("a", "b")
+    roots = _joined(roots, staged(aligned(apart.join(tried, ["a", "b"], "left_anti"), words, key, least), "links"))
+    # the other pairs of large buckets
+    large = shared.where(F.col("size") > SMALL).select("bucket", "node")
+    if roots is None:
+        large = large.withColumn("root", F.col("node"))
+    else:
+        large = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    large = staged(large, "large")
+    mixed = large.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    left = large.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "root").distinct()
+    left = staged(left.join(words.withColumnRenamed(key, "node"), "node"), "left")
+    if left.isEmpty():
+        return roots
+    return _joined(roots, staged(aligned(staged(alike(left, least), "alike"), left, "node", least), "links"))
+
+
 def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
     """``key`` and ``class_id``, the smallest key among the texts linked to this one.
 
@@ -289,12 +402,9 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", least:
     null ``class_id``; other columns are not read.
 
     A bucket of at most ``SMALL`` members gives all their pairs. A larger one has a lead, the
-    member that meets most others in all buckets, and gives each member's pair with it. A member
-    unlike the lead is then tried with every member of the lead's class there, unless its words
-    say that nothing linked to the lead can be linked to it; and all members unlike the lead
-    are dealt out again by further sketches, with leads of their own, until the parts are
-    small or of one class. Two texts unlike the lead meet again if they agree on one of these
-    sketches, or in another bucket.
+    member that meets most others in all buckets, and gives each member's pair with it. Members
+    of large buckets that are still of several classes then meet by their rare words (``alike``),
+    which leaves out no pair that can be linked.
     """
     df = df.select(key, text)
     own = staged(sketches(df.where(df[key].isNotNull()), key, text), "sketches")
@@ -303,83 +413,10 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", least:
     members = staged(copies, "copies")
     kept = own.where("sketch is not null").join(firsts.select(F.col("first").alias(key)), key, "left_semi")
     kept = staged(kept.select(F.col(key).alias("node"), "sketch"), "kept-sketches")
-    words: DataFrame | None = None
-    roots: DataFrame | None = None
-    tried: DataFrame | None = None
-    rows = kept.select("node", F.posexplode("sketch").alias("band", "bucket"), F.col("node").alias("root"))
-    while True:
-        # buckets of one class have nothing to tell
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y"))
-        shared = staged(rows.join(sizes.where("x <> y").drop("x", "y"), "bucket").select("bucket", "band", "node", "size"), "shared")
-        if shared.isEmpty():
-            break
-        degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
-        leads = shared.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("lead"))
-        shared = staged(shared.join(leads, "bucket"), "shared-leads")
-        stars = shared.where("node <> lead").groupBy("lead", "node").agg(F.count("*").alias("times"))
-        few = shared.where(F.col("size") <= SMALL).select("bucket", "node")
-        other = few.withColumnRenamed("node", "after")
-        every = few.join(other, "bucket").where("node < after").select(F.col("node").alias("a"), F.col("after").alias("b"))
-        both = F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")
-        pairs = staged(stars.select(*both).union(every).distinct(), "pairs")
-        if words is None:
-            needed = shared.select(F.col("node").alias(key)).distinct()
-            # the keys grow with the input: one plan at every size, which never broadcasts them
-            words = staged(word_rows(df, key, text).join(needed.hint("merge"), key, "left_semi"), "words")
-            # most classes are found by the lead that a node meets most often
-            best = stars.groupBy("node").agg(F.max_by("lead", F.struct("times", "lead")).alias("lead"))
-            tried = staged(best.select(*both).distinct(), "best-pairs")
-            first = staged(aligned(tried, words, key, least), "links")
-            roots = _joined(roots, first.where("similarity is not null"))
-            unlike = first.where("similarity is null").select("a", "b")
-        else:
-            unlike = None
-        apart = _with_roots(pairs, roots).where("root_a <> root_b").select("a", "b")
-        found = staged(aligned(apart.join(tried, ["a", "b"], "left_anti"), words, key, least), "links")
-        tried = tried.union(pairs)
-        roots = _joined(roots, found.where("similarity is not null"))
-        open_ = found.where("similarity is null").select("a", "b")
-        open_ = open_ if unlike is None else open_.union(unlike)
-        # members not in their lead's class: each pair of node and lead once
-        outside = staged(
-            _with_roots(stars.select(*both, "lead", "node"), roots)
-            .where("root_a <> root_b")
-            .select("lead", "node", "a", "b", F.when(F.col("a") == F.col("node"), F.col("root_a")).otherwise(F.col("root_b")).alias("root")),
-            "outside",
-        )
-        if outside.isEmpty():
-            break
-        large = shared.where((F.col("size") > SMALL) & (F.col("node") != F.col("lead")))
-        left = staged(
-            large.join(outside.join(open_.withColumn("open", F.lit(True)), ["a", "b"], "left"), ["lead", "node"]).select(
-                "bucket", "band", "node", "root", "lead", "open"
-            ),
-            "left",
-        )
-        # what is not far from a lead meets the other members of the lead's class there
-        inside = large.join(left.where("open").select("bucket").distinct(), "bucket", "left_semi")
-        inside = inside.join(outside.select("lead", "node"), ["lead", "node"], "left_anti").select("bucket", F.col("node").alias("after"))
-        beside = left.where("open").select("bucket", "node").join(inside, "bucket")
-        beside = beside.select(F.least("node", "after").alias("a"), F.greatest("node", "after").alias("b")).distinct()
-        met = staged(aligned(beside.join(tried, ["a", "b"], "left_anti"), words, key, least), "links")
-        roots = _joined(roots, met.where("similarity is not null"))
-        again = left.select("bucket", "band", "node")
-        if roots is not None:
-            again = again.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        else:
-            again = again.withColumn("root", F.col("node"))
-        # what is left of a bucket may be of one class
-        again = staged(again, "again")
-        mixed = again.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-        again = again.join(mixed.select("bucket"), "bucket")
-        # a node's places are put together, so that its sketches are moved once
-        places = again.groupBy("node", "root").agg(F.collect_list(F.struct("bucket", "band")).alias("places"))
-        rows = (
-            places.join(kept, "node")
-            .select("node", "root", "sketch", F.explode("places").alias("p"))
-            .select("node", "root", "sketch", "p.bucket", F.explode(F.sequence(F.col("p.band") + 1, F.col("p.band") + FURTHER)).alias("band"))
-            .select("node", "root", "band", F.xxhash64("bucket", F.col("sketch")[F.col("band") % SKETCHES]).alias("bucket"))
-        )
+    rows = kept.select("node", F.explode("sketch").alias("bucket"))
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = staged(rows.join(sizes, "bucket").select("bucket", "node", "size"), "shared")
+    roots = None if shared.isEmpty() else _classes_of(shared, df, key, text, least)
     if roots is None:
         named = members.select(key, F.col("first").alias("class_id"))
     else:
