@@ -147,6 +147,46 @@ def test_search_equals_every_stretch():
     assert latent_leaks.Search(items, np.zeros((301, 2), np.float32), [0] * 301).matches(coded) == []
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_windows_around_stretches_equal_a_literal_search(monkeypatch, block):
+    """One look at each stretch and cell gives the pairs and cosines of looking at every window."""
+    monkeypatch.setattr(latent_leaks, "TARGETS", block)
+    rng = random.Random(21)
+    space = np.random.default_rng(21).standard_normal((301, 6)).astype(np.float32)
+    space[0] = 0
+    items = []
+    for _ in range(20):
+        words = [rng.randint(1, 300) for _ in range(rng.randint(8, 120))]
+        items.append(latent_leaks.Item(len(items), words, words[-rng.randint(3, 8) :]))
+    search = latent_leaks.Search(items, space, [0] * 301)
+    rows = []
+    for _ in range(60):
+        item = rng.choice(items)
+        held = [w for w in item.words if rng.random() < 0.9]
+        rows.append([rng.randint(0, 300) for _ in range(rng.randint(0, 150))] + held + [rng.randint(0, 300) for _ in range(rng.randint(0, 150))])
+    rows.insert(5, [])
+    unit = lambda v: v / max(float(np.linalg.norm(v)), 1e-6)
+    truth = {}
+    for r, words in enumerate(rows):
+        for n, item in enumerate(items):
+            if search.shares(words, n) is None:
+                continue
+            reach, found = 2 * len(item.words), []
+            for begin in range(0, len(words), latent_leaks.CELL):
+                window = unit(space[words[begin : begin + 2 * latent_leaks.CELL]].sum(0))
+                cosine = max(float(window @ unit(space[p].sum(0))) for p in latent_leaks._pieces(item.words))
+                near = range(max(0, begin - reach), min(len(words), begin + 2 * latent_leaks.CELL + reach))
+                for of, least in ((item.words, 0.8), (item.answer, 0.8)):
+                    chosen, hits = latent_leaks._probe(of, [0] * 301, least)
+                    at = [i for i in near if words[i] in set(chosen)]
+                    if cosine >= latent_leaks.LEAST_COSINE and any(y - x < reach for x, y in zip(at, at[hits - 1 :])):
+                        found.append(cosine)
+            if found:
+                truth[r, n] = max(found)
+    got = {(r, n): c for r, n, c, _, _ in search.matches([np.array(w, "<u4").tobytes() for w in rows])}
+    assert len(truth) > 30 and got == pytest.approx(truth, abs=1e-4)
+
+
 @pytest.mark.parametrize("many", [150, 3000])
 def test_leaks_of_many_items(spark, many):
     """Whole, paraphrased and cut leaks: cosines alone find those of some hundred items; thousands

@@ -347,11 +347,6 @@ def weak_items(items: list[Item], space: np.ndarray, idf: np.ndarray) -> list[in
     return weak
 
 
-def _parts(n: int, size: int = 4096) -> Iterator[slice]:
-    for begin in range(0, n, size):
-        yield slice(begin, begin + size)
-
-
 class Search:
     """Windows near an item's passages, then exact shares, for rows of ids. The items ``weak``
     are looked for by stretches that hold enough of their rarest words."""
@@ -368,121 +363,80 @@ class Search:
         every = []
         for n, item in enumerate(items):
             every.append((n, *_probe(item.words, counts, LEAST_WHOLE)))
-            # of the same words again where the answer is the whole item
             every.append((n, *_probe(item.answer, counts, LEAST_ANSWER)))
-        # which words are in which probe; other pairs of both may seem to be, but none is lost
-        self.held = np.zeros(1 << 24, dtype=bool)
-        for n, (_, chosen, _) in enumerate(every):
-            self.held[self._slot(np.array(chosen, np.int64), n)] = True
-        self.needed = np.array([hits for _, _, hits in every], np.int64)
-        self.reach = np.array([2 * len(item.words) for item in items], np.int64)
-        probes = [every[2 * n + side] for n in weak for side in (0, 1) if not side or items[n].answer != items[n].words]
+        # an answer that is the whole item has the same words again
+        probes = [p for n, p in enumerate(every) if not n % 2 or items[p[0]].answer != items[p[0]].words]
         self.item_of = np.array([n for n, _, _ in probes], np.int64)
         self.hits = np.array([hits for _, _, hits in probes], np.int64)
-        self.spans = np.array([2 * len(items[n].words) for n, _, _ in probes], np.int64)
+        self.reach = np.array([2 * len(item.words) for item in items], np.int64)
+        self.weak = np.zeros(len(items), bool)
+        self.weak[list(weak)] = True
         words = np.array([w for _, chosen, _ in probes for w in chosen], np.int64)
         owner = np.repeat(np.arange(len(probes)), [len(chosen) for _, chosen, _ in probes])
-        self.owners = owner[np.argsort(words, kind="stable")]
+        # small numbers are sorted faster
+        self.owners = owner[np.argsort(words, kind="stable")].astype(np.min_scalar_type(len(probes)))
         self.degrees = np.bincount(words, minlength=len(space))
         self.begins = np.cumsum(self.degrees) - self.degrees
 
-    @staticmethod
-    def _slot(word: np.ndarray, probe: np.ndarray | int) -> np.ndarray:
-        return (word * 0x9E3779B1 + probe * 0x85EBCA77) & ((1 << 24) - 1)
-
-    def _stretches(
-        self, laid: Cells, row: np.ndarray, begin: np.ndarray, item: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Windows (which of those that begin at words ``begin`` of all laid out), and the words in
-        their reach at which a stretch with enough words of one of the item's probes begins."""
-        low = np.maximum(laid.begins[row], begin - self.reach[item])
-        high = np.minimum(laid.begins[row + 1], begin + 2 * CELL + self.reach[item])
-        sizes = high - low
-        at = np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
-        owner, words = np.repeat(np.arange(len(row)), sizes), laid.ids[at]
-        known = words > 0
-        at, owner, words = at[known], owner[known], words[known]
-        windows, places = [], []
-        for side in (0, 1):
-            probe = 2 * item + side
-            hit = np.flatnonzero(self.held[self._slot(words, probe[owner])])
-            place, own = at[hit], owner[hit]
-            last = np.arange(len(hit)) + self.needed[probe[own]] - 1
-            inside = last < len(hit)
-            last = np.minimum(last, len(hit) - 1)
-            close = inside & (own[last] == own) & (place[last] - place < self.reach[item[own]])
-            windows.append(own[close])
-            places.append(place[close])
-        return np.concatenate(windows), np.concatenate(places)
-
-    def near(self, rows: list[bytes]) -> tuple[dict[tuple[int, int], list[int]], dict[tuple[int, int], float]]:
-        """(row, item) to the words near windows near the item at which a stretch begins that holds
-        as many words of a probe as any leak does, and to the windows' highest cosine."""
-        laid = _laid_out(rows, CELL)
-        places: dict[tuple[int, int], list[int]] = {}
-        best: dict[tuple[int, int], float] = {}
-        if not len(laid.ids) or not len(self.targets):
-            return places, best
-        # only words of the benchmark have a direction
-        known = np.flatnonzero(laid.ids)
-        cell = laid.cell[known]
-        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(known) else known
-        cells = np.zeros((laid.firsts[-1], self.space.shape[1]), self.space.dtype)
-        if len(known):
-            cells[cell[starts]] = np.add.reduceat(self.space[laid.ids[known]], starts)
-        row_of = np.repeat(np.arange(len(rows)), np.diff(laid.firsts))
-        follows = row_of[1:] == row_of[:-1]
-        cells[:-1][follows] += cells[1:][follows].copy()
-        windows = _unit(cells)
-        for begin in range(0, len(self.targets), TARGETS):
-            cosines = windows @ self.targets[begin : begin + TARGETS].T
-            at, target = np.nonzero(cosines >= LEAST_COSINE)
-            if not len(at):
-                continue
-            row, item, cosine = row_of[at], self.item_of_target[target + begin], cosines[at, target]
-            word = laid.begins[row] + (at - laid.firsts[row]) * CELL
-            for part in _parts(len(at)):
-                window, place = self._stretches(laid, row[part], word[part], item[part])
-                window += part.start
-                found = zip(
-                    row[window].tolist(),
-                    item[window].tolist(),
-                    (place - laid.begins[row[window]]).tolist(),
-                    cosine[window].tolist(),
-                    strict=True,
-                )
-                for r, n, place, near in found:
-                    places.setdefault((r, n), []).append(place)
-                    best[r, n] = max(near, best.get((r, n), -1.0))
-        return places, best
-
-    def candidates(self, rows: list[bytes]) -> dict[tuple[int, int], list[int]]:
-        """(row, weak item) to the words at which a stretch with enough of a probe's words begins."""
-        if not len(self.item_of):
-            return {}
-        parts = [np.frombuffer(r, "<u4") for r in rows]
-        ids = np.concatenate([*parts, np.zeros(0, "<u4")]).astype(np.int64)
-        sizes = np.array([len(p) for p in parts], np.int64)
-        firsts = np.cumsum(sizes) - sizes
-        row_of = np.repeat(np.arange(len(rows)), sizes)
-        degrees = self.degrees[ids]
-        at = np.repeat(np.arange(len(ids)), degrees)
+    def _stretches(self, laid: Cells, row_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, first and last word (of all laid out) of the stretches that hold as many words of
+        one of the item's probes as any leak does."""
+        degrees = self.degrees[laid.ids]
+        held = np.flatnonzero(degrees)
+        degrees = degrees[held]
+        at = np.repeat(held, degrees)
         nth = np.arange(len(at)) - np.repeat(np.cumsum(degrees) - degrees, degrees)
-        probe = self.owners[self.begins[ids[at]] + nth]
+        probe = self.owners[self.begins[laid.ids[at]] + nth]
         order = np.argsort(probe, kind="stable")
-        probe, at = probe[order], at[order]
-        found: dict[tuple[int, int], list[int]] = {}
+        probe, at = probe[order].astype(np.int64), at[order]
         if not len(at):
-            return found
+            return probe, at, at
         last = np.arange(len(at)) + self.hits[probe] - 1
         inside = last < len(at)
         last = np.minimum(last, len(at) - 1)
-        close = inside & (probe[last] == probe) & (row_of[at[last]] == row_of[at]) & (at[last] - at < self.spans[probe])
-        at, probe = at[close], probe[close]
-        row = row_of[at]
-        for r, n, p in zip(row.tolist(), self.item_of[probe].tolist(), (at - firsts[row]).tolist(), strict=True):
-            found.setdefault((r, n), []).append(p)
-        return found
+        item, end = self.item_of[probe], at[last]
+        close = inside & (probe[last] == probe) & (row_of[end] == row_of[at]) & (end - at < self.reach[item])
+        return item[close], at[close], end[close]
+
+    def _windows(self, laid: Cells) -> np.ndarray:
+        """The latent direction of the window that begins at each cell."""
+        inside = np.arange(len(laid.ids)) - np.repeat(laid.begins[:-1], np.diff(laid.begins))
+        slots = np.zeros((CELL, laid.firsts[-1]), np.int64)  # word 0, which has no direction, fills cells up
+        slots[inside % CELL, laid.cell] = laid.ids
+        cells = np.zeros((laid.firsts[-1], self.space.shape[1]), self.space.dtype)
+        for words in slots:
+            cells += self.space[words]
+        row_of = np.repeat(np.arange(len(laid.firsts) - 1), np.diff(laid.firsts))
+        follows = row_of[1:] == row_of[:-1]
+        cells[:-1][follows] += cells[1:][follows].copy()
+        return _unit(cells)
+
+    def near(
+        self, laid: Cells, row: np.ndarray, item: np.ndarray, first: np.ndarray, last: np.ndarray
+    ) -> np.ndarray:
+        """The highest cosine of a window with a passage of the item, for each stretch of words
+        ``first`` to ``last`` and the windows in whose reach it lies; -1 for items without passages."""
+        if not len(self.targets) or not len(item):
+            return np.full(len(item), -1.0)
+        windows = self._windows(laid)
+        reach, begin = self.reach[item], laid.begins[row]
+        low = np.maximum(0, -((2 * CELL + reach - 1 - (last - begin)) // CELL))
+        high = np.minimum(np.diff(laid.firsts)[row] - 1, (first - begin + reach) // CELL)
+        sizes = high - low + 1
+        starts = np.cumsum(sizes) - sizes
+        window = np.arange(sizes.sum()) + np.repeat(laid.firsts[row] + low - starts, sizes)
+        owner = np.repeat(item, sizes)
+        best = np.full(len(window), -1.0, windows.dtype)
+        for block in range(0, len(self.targets), TARGETS):
+            cosines = windows @ self.targets[block : block + TARGETS].T
+            of = self.item_of_target[block : block + TARGETS]
+            heads = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            cosines = np.maximum.reduceat(cosines, heads, axis=1)
+            column = np.full(len(self.items), -1)
+            column[of[heads]] = np.arange(len(heads))
+            own = np.flatnonzero(column[owner] >= 0)
+            best[own] = np.maximum(best[own], cosines[window[own], column[owner[own]]])
+        return np.maximum.reduceat(best, starts)
 
     def shares(self, words: list[int], n: int) -> tuple[float, float] | None:
         """The highest shares of all words and of the answer in one stretch that is a leak.
@@ -494,13 +448,20 @@ class Search:
 
         every, (times, of_answer) = whole.keys(), self.times[n]
 
-        def share(near: list[int]) -> tuple[float, float]:
+        def enough(here: set[int]) -> bool:
             # no subsequence is longer than the words that both have
-            here = every & set(near)
             held = sum([times[w] for w in here])
             if held < LEAST_PART * size:
-                return 0.0, 0.0
-            if held < LEAST_WHOLE * size and sum([of_answer[w] for w in here]) < LEAST_ANSWER * len(item.answer):
+                return False
+            return held >= LEAST_WHOLE * size or sum([of_answer[w] for w in here]) >= LEAST_ANSWER * len(item.answer)
+
+        # no stretch has more of the item's words than all of them
+        if not enough(every & set(words)):
+            return None
+
+        def share(near: list[int]) -> tuple[float, float]:
+            here = every & set(near)
+            if not enough(here):
                 return 0.0, 0.0
             near = [w for w in near if w in here]
             return common(near, whole, size) / size, common(near, answer, len(item.answer)) / len(item.answer)
@@ -523,9 +484,21 @@ class Search:
 
     def matches(self, rows: list[bytes]) -> list[tuple[int, int, float, float, float]]:
         """(row, item, best cosine of a window, shares of all words and of the answer) of the leaks."""
-        places, cosines = self.near(rows)
-        for pair, at in self.candidates(rows).items():
-            places.setdefault(pair, []).extend(at)
+        laid = _laid_out(rows, CELL)
+        row_of = np.repeat(np.arange(len(rows)), np.diff(laid.begins))
+        item, first, last = self._stretches(laid, row_of)
+        row = row_of[first]
+        cosine = self.near(laid, row, item, first, last)
+        weak = self.weak[item]
+        cosine[weak] = 0.0
+        kept = weak | (cosine >= LEAST_COSINE)
+        row, item, cosine = row[kept], item[kept], cosine[kept]
+        place = first[kept] - laid.begins[row]
+        places: dict[tuple[int, int], list[int]] = {}
+        cosines: dict[tuple[int, int], float] = {}
+        for r, n, p, near in zip(row.tolist(), item.tolist(), place.tolist(), cosine.tolist(), strict=True):
+            places.setdefault((r, n), []).append(p)
+            cosines[r, n] = max(near, cosines.get((r, n), -1.0))
         result = []
         lists: dict[int, list[int]] = {}
         for (row, n), at in places.items():
@@ -535,7 +508,7 @@ class Search:
             found = [self.shares(lists[row][begin:end], n) for begin, end in ranges]
             best = max((f for f in found if f), default=None)
             if best:
-                result.append((row, n, cosines.get((row, n), 0.0), *best))
+                result.append((row, n, cosines[row, n], *best))
         return result
 
 
