@@ -4,10 +4,11 @@ import hashlib
 import random
 from array import array
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import trie_bpe
+from tidemark.llm import frames, trie_bpe
 from tidemark.llm.queries import QUERIES, tokenizer_file
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,3 +64,20 @@ def test_query(spark, library):
         assert row.n_tokens == len(ids) // 4
         assert row.ids_sha256 == hashlib.sha256(ids).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(shown.encode()).hexdigest()
+
+
+def test_workers_free_the_encodings_for_other_operators(spark):
+    docs = spark.createDataFrame([(n, f"some text {n}") for n in range(40)], "doc_id long, text string").repartition(4)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [trie_bpe.coder.cache_info().currsize] * batch.num_rows}, schema=arrow)
+
+    arrow = pa.schema([("n", pa.int64())])
+
+    def kept(**options):
+        trie_bpe.encode_decode(docs, tokenizer_file()).write.format("noop").mode("overwrite").save()
+        return {r.n for r in frames.map_arrow(docs, sizes, "n long", **options).collect()}
+
+    assert 1 in kept(cached=trie_bpe.coder)
+    assert kept() == {0}

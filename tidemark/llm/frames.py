@@ -41,10 +41,28 @@ def ship(spark: SparkSession) -> None:
     context._tidemark_shipped = True
 
 
-def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the tasks."""
+_in_use: list[Callable] = []
+
+
+def turn_to(cached: Callable | None) -> None:
+    """A Python worker that turns to another operator frees what it keeps for the last one;
+    ``cached`` is the ``lru_cache`` that the new one keeps from task to task, if any."""
+    for other in [c for c in _in_use if c is not cached]:
+        other.cache_clear()
+        _in_use.remove(other)
+    if cached is not None and cached not in _in_use:
+        _in_use.append(cached)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema, cached: Callable | None = None) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the tasks; see ``turn_to`` for ``cached``."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to(cached)
+        yield from run(batches)
+
+    return df.mapInArrow(task, schema)
 
 
 def labelled_sample(docs: DataFrame, labelled: DataFrame, key: str, most: int) -> DataFrame:
@@ -82,12 +100,14 @@ def map_texts(
     schema: str,
     make: Callable[[], Callable[[list, list[str]], dict[str, list]]],
     keep: Sequence[str] = (),
+    cached: Callable | None = None,
 ) -> DataFrame:
     """``key``, then the columns of ``schema``, from (keys, texts) in slices of bounded size,
     then ``keep``, columns handed on as they are.
 
     ``make`` is called once in each task and returns the function of (keys, texts) that
-    gives the columns, ``key`` among them. Null texts arrive as empty ones.
+    gives the columns, ``key`` among them. Null texts arrive as empty ones. See ``turn_to`` for
+    ``cached``.
     """
     kinds = [f"`{name}` {df.schema[name].dataType.simpleString()}" for name in (key, *keep)]
     source = df.select(df[key], df[text].cast("string").alias("_text"), *(df[name] for name in keep))
@@ -105,4 +125,4 @@ def map_texts(
 
     spark_schema = _parse_datatype_string(", ".join([kinds[0], schema, *kinds[1:]]))
     arrow = to_arrow_schema(spark_schema)
-    return map_arrow(source, run, spark_schema)
+    return map_arrow(source, run, spark_schema, cached)

@@ -209,7 +209,7 @@ class Coder:
 
 @lru_cache(maxsize=1)
 def coder(text: str) -> Coder:
-    """Outlives a task where Python workers are used again."""
+    """Outlives a task where Python workers are used again, until they turn to another operator."""
     return Coder(Vocabulary(text))
 
 
@@ -233,4 +233,4 @@ def encode_decode(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str
 
         return work
 
-    return map_texts(df, key, text, "n_tokens long, ids binary, decoded string", make)
+    return map_texts(df, key, text, "n_tokens long, ids binary, decoded string", make, cached=coder)
