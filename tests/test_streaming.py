@@ -2,6 +2,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.sources import tables
@@ -15,7 +16,7 @@ from tidemark.sources.tables import (
     read_table_stream,
 )
 from tidemark.streaming import read_batches, run_foreach_batch, run_incremental
-from tidemark.streaming.runs import write_batch
+from tidemark.streaming.runs import SIDE_BY_SIDE, WRITERS, write_batch
 
 SCHEMA = "k string, v int"
 
@@ -155,3 +156,27 @@ def test_a_reader_keeps_the_version_it_opened(spark, folder):
         publish(rows(spark, 1), target, mode="append")
     with pytest.raises(FileNotFoundError):
         read_published(spark, Target(f"{folder}/none", versioned=True))
+
+
+@pytest.mark.parametrize("named", [None, "2"])
+def test_folders_are_written_without_sorting_their_rows(spark, folder, monkeypatch, named):
+    seen, save = [], DataFrameWriter.save
+
+    def spy(writer, *args, **kwargs):
+        seen.append(spark.conf.get(WRITERS))
+        return save(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", spy)
+    rows = spark.range(4000).selectExpr("id", "concat('m', id % 20) MetricName").coalesce(1)
+    if named:
+        spark.conf.set(WRITERS, named)
+    try:
+        write_batch(rows, "b", f"{folder}/fact", partition_by=["MetricName"])
+        assert spark.conf.get(WRITERS, None) == named
+    finally:
+        spark.conf.unset(WRITERS)
+    assert seen == [named or str(SIDE_BY_SIDE)]
+    # more folders than are open at once
+    stored = spark.read.parquet(f"{folder}/fact").groupBy("MetricName").agg(F.count("id"), F.sum("id"))
+    expected = rows.groupBy("MetricName").agg(F.count("id"), F.sum("id"))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, expected.collect()))
