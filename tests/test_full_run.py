@@ -1,7 +1,9 @@
+import glob
 import os
 import re
 from datetime import datetime, timezone
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from tidemark.operators.incremental import in_parts_of, only_new
 from tidemark.operators.scd2 import read_dimension
 from tidemark.plans import full_run
 from tidemark.plans.full_run import Lake, Run, run_layers
+from tidemark.session import PARQUET_CODEC
 from tidemark.sources.files import table_exists
 from tidemark.sources.landed import batch_id, to_envelopes, write_landed
 from tidemark.sources.tables import Target, append_load, has_months, read_months, read_table
@@ -356,3 +359,34 @@ def test_parked_readings_return_with_their_station(spark, folder):
     assert spark.read.json(landed).count() == 1
     assert day(3, stations(spark, b="Devon")) == third
     assert len(os.listdir(lake.landed_unknown_observations)) == 2
+
+
+def bytes_of(path, column):
+    """Stored bytes a row of a column, over all files of a table."""
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/**/part-*.parquet", recursive=True) if "_taken_files" not in f]
+    groups = [f.row_group(g) for f in files for g in range(f.num_row_groups)]
+    chunks = [g.column(k) for g in groups for k in range(g.num_columns)]
+    return sum(c.total_compressed_size for c in chunks if c.path_in_schema == column) / sum(f.num_rows for f in files)
+
+
+def test_row_hashes_take_little_more_than_what_they_hold(spark, folder):
+    lake, copy = Lake(f"{folder}/lake"), Target(f"{folder}/copy")
+    # 20 stations with 1,000 days of one reading: the readings of a day would share their hash
+    n = F.col("id").cast("int")
+    day = F.date_add(F.lit("2021-01-01").cast("date"), F.floor(n / 20).cast("int"))
+    moment = F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime")
+    measured = [n.cast(f.dataType).alias(f.name) for f in schemas.READING.fields if f.name != "datetime"]
+    feed = spark.range(0, 20_000, 1, 1).select(F.concat(F.lit("s"), n % 20).alias("station_geohash"), moment, *measured)
+    places = stations(spark, **{f"s{k}": "Kent" for k in range(20)})
+    codec = spark.conf.get(PARQUET_CODEC, None)
+    try:
+        run_layers(spark, lake, Run("r", DAYS[0], "feed"), stations=places, readings=feed,
+                   calendar=("2024-01-01", "2024-01-31"), copies={"fact": [copy]})
+    finally:
+        spark.conf.unset(PARQUET_CODEC) if codec is None else spark.conf.set(PARQUET_CODEC, codec)
+    fact = read_batches(spark, copy.path, schemas.FACT)
+    assert fact.count() == fact.select("RowHash").distinct().count() == 160_000
+    # a SHA-256 has 32 bytes
+    assert bytes_of(lake.silver_observations, "_row_hash") < 34
+    assert bytes_of(lake.gold_fact, "RowHash") < 34
+    assert bytes_of(copy.path, "RowHash") < 34
