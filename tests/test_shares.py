@@ -56,6 +56,16 @@ def test_new_in_shares_equals_only_new(spark, folder, monkeypatch, share):
         assert new_in_shares(hot, None, ["k", "t"], ["v"], month_text("t"), "m") is None
 
 
+def test_a_task_sorts_few_shares_of_a_large_batch(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "DEALT_ROWS", 100)
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("k"), F.lit("2024-01-01T00:00:00Z").alias("t"))
+    with staged_while(rows, "large") as batch:
+        found = new_in_shares(batch, None, ["k", "t"], [], month_text("t"), "m")
+        of_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    # 40 shares; put together by size they would be one task's
+    assert sum(of_task) == 4000 and max(of_task) < 800
+
+
 def test_staged_rows_leave_with_their_block(spark):
     with staged_while(spark.range(5), "gone") as rows:
         (path, *_) = rows.inputFiles()
